@@ -22,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .mixing import mix
+    from .runtime import cut, word_count
+
+    docs = table(spark, sf_dir, "documents")
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    return mix(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import cut_pieces, pack
 
@@ -56,6 +67,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_source_mix": op4_source_mix,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_dedup": op7_exact_dedup,
         "op10_token_files": op10_token_files,
