@@ -39,6 +39,12 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import digest, remove_repeats
+
+    return digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import cut_pieces, pack
 
@@ -75,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_divergence_rules": op2_divergence_rules,
         "op4_source_mix": op4_source_mix,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_dedup": op7_exact_dedup,
         "op10_token_files": op10_token_files,
