@@ -204,14 +204,15 @@ def _collect(mode: str, buckets: int, every: bool):
     return collect
 
 
-def ask(rows: DataFrame, make: Make, mode: str, buckets: int, every: bool = False, chunk: int = 8 << 20) -> DataFrame:
+def ask(rows: DataFrame, make: Make, mode: str, buckets: int, every: bool = False, unique: bool = True, chunk: int = 8 << 20) -> DataFrame:
     """doc_id, th, n (tokens), n_set (those shared, or with a smaller document), bits and carry of each document.
 
     rows has doc_id, th (a hash of the text; rows that repeat both are alike and get one answer) and
     text (string or binary).  bits: a packed bit for each token, or a byte in ``count`` mode.
-    every: also documents of which no token is set.  rows must come in the same order if a task runs again, as
+    every: also documents of which no token is set; without unique, repeated rows get an answer each.  rows must come in the same order if a task runs again, as
     those of a scan do; answers that don't fit are an error, never a wrong result.
     """
     asked = rows.mapInArrow(_sender(make, mode, buckets, chunk), ASKED)
     replies = asked.groupBy("bucket").applyInArrow(_judge(mode), ASKED)
-    return replies.groupBy("batch").applyInArrow(_collect(mode, buckets, every), ANSWER).dropDuplicates(["doc_id", "th"])
+    answers = replies.groupBy("batch").applyInArrow(_collect(mode, buckets, every), ANSWER)
+    return answers.dropDuplicates(["doc_id", "th"]) if unique else answers

@@ -71,6 +71,12 @@ FROM t WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id)
 """
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .wavelet import token_table
 
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_substring_dedup": op5_substring_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_token_files": op10_token_files,
     }
 

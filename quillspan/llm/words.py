@@ -115,7 +115,8 @@ class Words:
             few = (self.counts > 0) & (self.counts < n)
             for d in np.flatnonzero(few):
                 a, b = self.bounds[d], self.bounds[d + 1]
-                total[a] = (h[a:b] * _LANE[lane][: b - a]).sum(dtype=np.uint64) + _LANE[lane][32 + b - a]
+                total[a : a + 1] = (h[a:b] * _LANE[lane][: b - a]).sum(dtype=np.uint64)
+                total[a : a + 1] += _LANE[lane][32 + b - a]
                 ok[a] = True
         return mix(total), ok
 
@@ -126,7 +127,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_string() if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else pa.large_binary())
     raw = column.buffers()
     offsets = np.frombuffer(raw[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(raw[2], np.uint8) if raw[2] is not None else np.zeros(0, np.uint8)
