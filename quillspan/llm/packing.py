@@ -109,6 +109,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     outside 1..capacity are an error.  Ties are broken by doc_id and piece; repeated rows are placed each.
     """
     parts = max(1, min(65536, input_bytes(pieces) // (8 << 20), 8 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    pieces = cut(pieces)  # else the sampling for the ranges would make every piece once more
     ordered = pieces.repartitionByRange(parts, F.desc("length"), "doc_id", "piece").sortWithinPartitions(F.desc("length"), "doc_id", "piece")
     ordered = cut(ordered.withColumn("_part", F.spark_partition_id()))
     # sorted by length, a partition holds few lengths: at most one row for each partition and length border
