@@ -34,6 +34,12 @@ def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -77,6 +83,34 @@ FROM t WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id)
 """
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_sql() -> str:
+    """The same canonical form in SQL."""
+    from .known_licenses import SPELLINGS, TEXTS
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def canonical(text: str) -> str:
+        x = f"lower(coalesce({text}, ''))"
+        x = f"regexp_replace({x}, '(^|\\n)[^\\na-z0-9(]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
+        x = f"' ' || trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g')) || ' '"
+        for found, common in SPELLINGS:
+            x = f"replace({x}, {quoted(f' {found} ')}, {quoted(f' {common} ')})"
+        return f"sha256(trim(regexp_replace({x}, ' +', ' ', 'g')))"
+
+    rows = ", ".join(f"({i}, {quoted(k)}, {quoted(v)})" for i, (k, v) in enumerate(TEXTS.items()))
+    return (
+        f"WITH known AS (SELECT {canonical('t')} AS s, arg_min(k, i) AS license_id FROM (VALUES {rows}) v(i, k, t) GROUP BY 1) "
+        f"SELECT d.doc_id, d.s AS text_sha256, known.license_id FROM (SELECT doc_id, {canonical('text')} AS s FROM documents) d LEFT JOIN known ON d.s = known.s"
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import similar_documents
 
@@ -93,14 +127,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
         "op2_divergence_rules": op2_divergence_rules,
+        "op3_cross_entropy_difference": op3_cross_entropy_difference,
         "op4_source_mix": op4_source_mix,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_license_scan": op8_license_scan,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_token_files": op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op8_license_scan": op8_sql()}
