@@ -204,7 +204,7 @@ def _collect(mode: str, buckets: int, every: bool):
     return collect
 
 
-def ask(rows: DataFrame, make: Make, mode: str, buckets: int, every: bool = False, unique: bool = True, chunk: int = 8 << 20) -> DataFrame:
+def ask(rows: DataFrame, make: Make, mode: str, buckets: int, every: bool = False, unique: bool = True, chunk: int = 4 << 20) -> DataFrame:
     """doc_id, th, n (tokens), n_set (those shared, or with a smaller document), bits and carry of each document.
 
     rows has doc_id, th (a hash of the text; rows that repeat both are alike and get one answer) and

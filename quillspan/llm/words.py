@@ -22,6 +22,7 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_HASHED = 1 << 18  # bytes
 _powers: list[list[np.ndarray]] = [[], []]
 
 
@@ -91,12 +92,19 @@ class Words:
         if not len(self.first):
             return np.zeros(0, np.uint64)
         table = _BYTE[lane][_LOWER] if lower else _BYTE[lane]
-        up, down = _power(lane, len(self.data) + 1)
-        sums = np.empty(len(self.data) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(table[self.data] * up[:-1], dtype=np.uint64, out=sums[1:])
-        h = (sums[self.end] - sums[self.first]) * down[self.first]
-        return mix(h + (self.end - self.first).astype(np.uint64) * _LANE[lane][63])
+        out = np.empty(len(self.first), np.uint64)
+        i = 0
+        while i < len(out):  # in blocks, which bounds the memory that the sums take
+            j = max(i + 1, int(np.searchsorted(self.end, self.first[i] + _HASHED, "right")))
+            lo, hi = int(self.first[i]), int(self.end[j - 1])
+            up, down = _power(lane, hi - lo + 1)
+            sums = np.empty(hi - lo + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(table[self.data[lo:hi]] * up[:-1], dtype=np.uint64, out=sums[1:])
+            first, end = self.first[i:j] - lo, self.end[i:j] - lo
+            out[i:j] = (sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64) * _LANE[lane][63]
+            i = j
+        return mix(out)
 
     def word(self, i: int) -> bytes:
         return self.data[self.first[i] : self.end[i]].tobytes()
