@@ -1,5 +1,9 @@
-"""SQL that agrees with the queries."""
+"""The SQL that the queries must agree with."""
+
+from __future__ import annotations
+
+from . import table_queries, text_queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**text_queries.SQL, **table_queries.SQL}

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from . import table_queries, text_queries
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**text_queries.QUERIES, **table_queries.QUERIES}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to passages, mentions, pairs, ranked passages and sentences, and the context of each pair."""
+    return text_queries.context_assembly(spark, sf_dir)
