@@ -38,27 +38,27 @@ def name_pattern(name: Column) -> Column:
     return F.when(loose, F.concat(F.lit("(?iu)"), literal)).otherwise(F.concat(F.lit("(?iuU)\\b"), literal, F.lit("\\b")))
 
 
-def find_spans(text: Column, name: Column, offset: Column) -> Column:
-    """All places of name in text, as array<struct<s, e>> counted from offset.
+def find_spans(text: Column, name: Column, offset: Column, lowered: Column | None = None) -> Column:
+    """All places of name in text, as array<struct<s, e>> counted from offset.  lowered: the text in lower case, if
+    it is at hand.
 
     The pattern is a literal, and case folding here maps single characters, so each match is as long as the
     name: matches start where the pieces between them end.
     """
 
     def spans(pieces: Column) -> Column:
-        lengths = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.char_length(p) + F.char_length(name))
-        starts = running_starts(lengths)
-        return F.transform(
-            F.sequence(F.lit(0), F.size(lengths) - 1),
-            lambda i: F.struct(
-                (offset + F.get(starts, i) + F.get(lengths, i) - F.char_length(name)).cast("int").alias("s"),
-                (offset + F.get(starts, i) + F.get(lengths, i)).cast("int").alias("e"),
-            ),
-        )
+        start = F.struct(offset.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def step(a: Column, piece: Column) -> Column:
+            end = (a["at"] + F.char_length(piece) + F.char_length(name)).cast("int")
+            return F.struct(end.alias("at"), F.array_append(a["out"], end).alias("out"))
+
+        ends = F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step, lambda a: a["out"])
+        return F.transform(ends, lambda e: F.struct((e - F.char_length(name)).cast("int").alias("s"), e.alias("e")))
 
     none = F.array().cast("array<struct<s:int,e:int>>")
     found = let(F.split(text, name_pattern(name), -1), lambda p: F.when(F.size(p) > 1, spans(p)).otherwise(none))
-    return F.when((F.char_length(name) > 0) & F.contains(F.lower(text), F.lower(name)), found).otherwise(none)
+    return F.when((F.char_length(name) > 0) & F.contains(F.lower(text) if lowered is None else lowered, F.lower(name)), found).otherwise(none)
 
 
 def sentences(text: Column) -> Column:

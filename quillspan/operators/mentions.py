@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import find_spans
+from ..functions.text import find_spans, let
 
 
 def unique_names(extracted: DataFrame) -> DataFrame:
@@ -26,12 +26,12 @@ def locate_all(passages: DataFrame, lexicon: DataFrame) -> DataFrame:
     lexicon (entity_type, name) is a list for people to read: collected, it becomes one expression over the text.
     """
     entries = lexicon.collect()
-    tries = F.array(
-        *[
-            F.struct(F.lit(r["entity_type"]).alias("entity_type"), F.lit(i).alias("entity_idx"), F.lit(r["name"]).alias("name"), find_spans(F.col("text"), F.lit(r["name"]), F.col("u_start")).alias("spans"))
-            for i, r in enumerate(entries)
-        ]
-    )
+
+    def one(i: int, kind: str, name: str, lowered: Column) -> Column:
+        spans = find_spans(F.col("text"), F.lit(name), F.col("u_start"), lowered)
+        return F.struct(F.lit(kind).alias("entity_type"), F.lit(i).alias("entity_idx"), F.lit(name).alias("name"), spans.alias("spans"))
+
+    tries = let(F.lower("text"), lambda lowered: F.array(*[one(i, r["entity_type"], r["name"], lowered) for i, r in enumerate(entries)]))
     rows = passages.select("doc_id", "passage_idx", F.explode(tries).alias("m"))
     return rows.select("doc_id", "passage_idx", "m.entity_type", "m.entity_idx", "m.name", "m.spans")
 

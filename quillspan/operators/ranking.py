@@ -37,10 +37,10 @@ def unit_counts(spans: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def inverse_frequency(counts: DataFrame, units: DataFrame) -> DataFrame:
-    """idf of each entity over the units of its document: ln(1 + N / df)."""
-    df = counts.groupBy("doc_id", "entity_type", "name").agg(F.count_distinct("unit_idx").alias("df"))
+    """counts with idf of each entity over the units of its document: ln(1 + N / df)."""
     n = units.groupBy("doc_id").agg(F.count("*").alias("n_units"))
-    return df.join(n, "doc_id").withColumn("idf", F.log(1.0 + F.col("n_units") / F.greatest("df", F.lit(1))))
+    df = F.count("*").over(Window.partitionBy("doc_id", "entity_type", "name"))  # counts has a row for each unit
+    return counts.withColumn("df", df).join(n, "doc_id").withColumn("idf", F.log(1.0 + F.col("n_units") / F.greatest("df", F.lit(1))))
 
 
 def co_count(a: Column, b: Column) -> Column:
@@ -61,15 +61,19 @@ def sentence_indices(counts: DataFrame, units: DataFrame) -> DataFrame:
     return placed.withColumn("sent", F.transform("pos", lambda p: sentence_of(p, F.col("_sentences")))).drop("_sentences", "text")
 
 
-def pair_units(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """Each compound with each other entity of the same unit, with both sides' n, idf and sent."""
-    rows = counts.join(idf.select("doc_id", "entity_type", "name", "idf"), ["doc_id", "entity_type", "name"])
-    extra = [c for c in ("sent",) if c in counts.columns]
-    left = rows.where("entity_type = 'compounds'").select("doc_id", "unit_idx", "u_start", "u_end", F.col("name").alias("subj"), F.col("n").alias("n_a"), F.col("idf").alias("idf_a"), *[F.col(c).alias(f"{c}_a") for c in extra])
-    right = rows.where("entity_type <> 'compounds'").select(
-        "doc_id", "unit_idx", F.col("entity_type").alias("category"), F.col("name").alias("obj"), F.col("n").alias("n_b"), F.col("idf").alias("idf_b"), *[F.col(c).alias(f"{c}_b") for c in extra]
-    )
-    return left.join(right, ["doc_id", "unit_idx"])
+def pair_units(weighed: DataFrame) -> DataFrame:
+    """Each compound with each other entity of the same unit, with both sides' n, idf and sent.
+
+    weighed: counts with idf, and sent if it is needed.  The entities of a unit meet in its row: there are few.
+    """
+    extra = [c for c in ("sent",) if c in weighed.columns]
+    entity = F.struct("entity_type", "name", "n", "idf", *extra)
+    met = weighed.groupBy("doc_id", "unit_idx", "u_start", "u_end").agg(F.collect_list(entity).alias("all"))
+    compounds = F.filter("all", lambda x: x["entity_type"] == "compounds")
+    others = F.filter("all", lambda x: x["entity_type"] != "compounds")
+    rows = met.select("doc_id", "unit_idx", "u_start", "u_end", F.explode(compounds).alias("a"), others.alias("others")).select("*", F.explode("others").alias("b"))
+    sides = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("n", "idf", *extra) for side in "ab"]
+    return rows.select("doc_id", "unit_idx", "u_start", "u_end", F.col("a.name").alias("subj"), F.col("b.entity_type").alias("category"), F.col("b.name").alias("obj"), *sides)
 
 
 def passage_scores(pairs: DataFrame) -> DataFrame:
@@ -85,13 +89,13 @@ def top_units(scored: DataFrame, k: int = 2) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def best_sentences(top: DataFrame, sentence_counts: DataFrame, sentence_idf: DataFrame, per_paragraph: int = 2) -> DataFrame:
+def best_sentences(top: DataFrame, weighed_sentences: DataFrame, per_paragraph: int = 2) -> DataFrame:
     """The best sentences within each chosen passage: doc_id, subj, category, obj, rank, sent_idx, u_start, u_end, score.
 
     A sentence that lies in several chosen passages belongs to the best of them.
     """
     key = ["doc_id", "subj", "category", "obj"]
-    scored = pair_units(sentence_counts, sentence_idf).select(
+    scored = pair_units(weighed_sentences).select(
         *key, F.col("unit_idx").alias("sent_idx"), F.col("u_start").alias("s_start"), F.col("u_end").alias("s_end"),
         (co_count(F.col("n_a"), F.col("n_b")) * 2.0 * F.col("idf_a") * F.col("idf_b") * BOOST).alias("sent_score"),
     )

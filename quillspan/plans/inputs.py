@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mentions, passages, ranking
 from ..schemas import ENTITY_POLICY
+from ..session import materialise
 
 # The names that are looked for.
 LEXICON = [
@@ -46,7 +47,8 @@ def located(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mentions.spans_of(located(spark, sf_dir))
+    """Written once: every later step starts from this small table, not from the texts."""
+    return materialise(mentions.spans_of(located(spark, sf_dir)))
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,21 +73,20 @@ def linked_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located(spark, sf_dir).withColumns({"ontology_id": ids, "CID": none, "taxonomy_id": none.cast("int")})
 
 
-def ranked(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The steps of ranking: units, counts, idf, pairs (scored), top."""
-    u = units(spark, sf_dir)
-    counts = ranking.unit_counts(spans(spark, sf_dir), u)
-    idf = ranking.inverse_frequency(counts, u)
-    scored = ranking.passage_scores(ranking.pair_units(ranking.sentence_indices(counts, u), idf))
-    return {"units": u, "counts": counts, "idf": idf, "scored": scored, "top": ranking.top_units(scored, 2)}
+def weighed(found: DataFrame, u: DataFrame) -> DataFrame:
+    return ranking.inverse_frequency(ranking.unit_counts(found, u), u)
+
+
+def scored(found: DataFrame, u: DataFrame) -> DataFrame:
+    """Pairs with their score in each unit."""
+    return ranking.passage_scores(ranking.pair_units(ranking.sentence_indices(weighed(found, u), u)))
 
 
 def chosen(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """ranked(), with sentences and the best of them."""
-    out = ranked(spark, sf_dir)
-    s = sentence_units(spark, sf_dir)
-    counts = ranking.unit_counts(spans(spark, sf_dir), s)
-    return out | {"sentences": s, "best": ranking.best_sentences(out["top"], counts, ranking.inverse_frequency(counts, s), 2)}
+    """Units, sentences, the top passages of each pair and the best sentences in them."""
+    found, u, s = spans(spark, sf_dir), units(spark, sf_dir), sentence_units(spark, sf_dir)
+    top = materialise(ranking.top_units(scored(found, u), 2))
+    return {"units": u, "sentences": s, "top": top, "best": materialise(ranking.best_sentences(top, weighed(found, s), 2))}
 
 
 # ---------- the same in SQL ----------

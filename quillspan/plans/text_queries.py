@@ -128,24 +128,24 @@ def span_unit_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_sql("SELECT doc_id, entity_type, name, df, n_units, round(idf, 6) AS idf FROM idf", *I.TO_RANKED))
 def idf(spark: SparkSession, d: str) -> DataFrame:
-    return I.ranked(spark, d)["idf"].withColumn("idf", F.round("idf", 6))
+    out = I.weighed(I.spans(spark, d), I.units(spark, d))
+    return out.select("doc_id", "entity_type", "name", "df", "n_units", F.round("idf", 6).alias("idf")).distinct()
 
 
 @query(with_sql("SELECT doc_id, unit_idx, subj, category, obj, n_a, n_b, round(co, 6) AS co FROM scored", *I.TO_RANKED))
 def pair_cooccurrence_score(spark: SparkSession, d: str) -> DataFrame:
-    r = I.ranked(spark, d)
-    pairs = ranking.pair_units(r["counts"], r["idf"])
+    pairs = ranking.pair_units(I.weighed(I.spans(spark, d), I.units(spark, d)))
     return pairs.select("doc_id", "unit_idx", "subj", "category", "obj", "n_a", "n_b", F.round(ranking.co_count(F.col("n_a"), F.col("n_b")), 6).alias("co"))
 
 
 @query(with_sql("SELECT doc_id, unit_idx, subj, category, obj, round(prox, 6) AS prox, same FROM scored", *I.TO_RANKED))
 def proximity_bonus(spark: SparkSession, d: str) -> DataFrame:
-    return I.ranked(spark, d)["scored"].select("doc_id", "unit_idx", "subj", "category", "obj", F.round("prox", 6).alias("prox"), "same")
+    return I.scored(I.spans(spark, d), I.units(spark, d)).select("doc_id", "unit_idx", "subj", "category", "obj", F.round("prox", 6).alias("prox"), "same")
 
 
 @query(with_sql("SELECT doc_id, subj, category, obj, unit_idx, CAST(rank AS INT) AS rank, round(score, 6) AS score FROM top", *I.TO_RANKED))
 def rank_passages_topk(spark: SparkSession, d: str) -> DataFrame:
-    return I.ranked(spark, d)["top"].select("doc_id", "subj", "category", "obj", "unit_idx", "rank", F.round("score", 6).alias("score"))
+    return ranking.top_units(I.scored(I.spans(spark, d), I.units(spark, d)), 2).select("doc_id", "subj", "category", "obj", "unit_idx", "rank", F.round("score", 6).alias("score"))
 
 
 @query(with_sql("SELECT doc_id, subj, category, obj, CAST(rank AS INT) AS rank, sent_idx, round(sent_score, 6) AS score FROM best", *I.TO_BEST))

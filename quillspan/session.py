@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -44,3 +44,20 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that every executor sees (spark.checkpoint.dir); one of our own only where the session names none."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        named = "file://" + tempfile.mkdtemp(prefix="quillspan-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    return named
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Written to the shared folder, its lineage dropped: computed once, and kept when executors are lost."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
