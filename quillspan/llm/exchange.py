@@ -158,6 +158,7 @@ def _judge(mode: str):
         ends = np.cumsum(sizes).tolist()
         pack = (lambda x: x.tobytes()) if mode == "count" else (lambda x: np.packbits(x).tobytes())
         replies = [pack(flag[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
+        words.trim()
         return _table(_ASKED, [(key[0].as_py(), b, r, np.int64(n).tobytes()) for b, r, n in zip(batch, replies, sizes, strict=True)])
 
     return judge

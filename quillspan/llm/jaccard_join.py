@@ -139,23 +139,26 @@ def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
     return (100 * x >= percent * y) & (100 * y >= percent * x)
 
 
-def _stars(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of documents to the pivot that a minhash brings them to; those not linked try the next one.
+def _stars(family: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of documents to the pivots that minhashes bring them to: first by one minhash, then, for those
+    that are not linked yet, by all others at once.
 
     A key's pivot is the one with most links, then the one with the fewest shingles of its own (the likely
     original of a family of copies), then the smallest id.
     """
     links = None
-    for k in range(ROUNDS):
-        active = nodes.select("node", "n", "alone", F.get("keys", F.lit(k)).alias("key"))
+    for keys in ([0], list(range(1, ROUNDS))):
+        active = family.select("node", "n", "alone", "text", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.get("keys", F.lit(k)).alias("key")) for k in keys])).alias("by"))
         if links is None:
             active = active.withColumn("held", F.lit(0).cast("long"))
         else:
             held = links.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("held"))
             active = active.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_anti").join(held, "node", "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long")))
-        pivots = active.groupBy("key").agg(F.min(F.struct((-F.col("held")).alias("h"), "alone", "node", "n")).alias("p"), F.count("*").alias("m")).where("m > 1")
-        pairs = active.join(pivots, "key").where((F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
-        found = cut(_verified(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")), sets, percent))
+        turn = F.struct((-F.col("held")).alias("h"), "alone", "node")
+        pivots = active.groupBy("by").agg(F.min_by(F.struct("node", "n", "text"), turn).alias("p"), F.count("*").alias("m")).where("m > 1")
+        pairs = active.join(pivots, "by").where((F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
+        pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("text").alias("sa"), F.col("p.text").alias("sb"))
+        found = cut(pairs.mapInArrow(_similar(percent), "a long, b long").distinct())
         links = found if links is None else links.unionByName(found)
     return links
 
@@ -201,8 +204,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each row.
 
     Two rows link when 100 * overlap >= percent * union of their shingle sets.  Texts without words have an
-    empty set and no links (a null id gives a null component then).  Rows that repeat an id are one
-    document in the links; a null id counts as larger than all others.
+    empty set and no links (a null id gives a null component then).  A null id counts as larger than all
+    others.  Rows that repeat an id each get the component of their own text; only texts for whose copies that id
+    is the smallest share one.
     """
     buckets = buckets or bucket_count(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -217,11 +221,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     family = sets.dropDuplicates(["doc_id", "th"]).join(counted, ["doc_id", "th"]).select(F.col("doc_id").alias("node"), "n", "text", "times")
     family = cut(family.mapInArrow(_measure, "node long, n long, text binary, times binary, alone int, keys array<bigint>"))
     nodes = family.select("node", "n", "alone", "keys")
-    links = _stars(nodes, family, percent)
+    links = _stars(family, percent)
     labels = components(links)
     more = cut(_verified(_matrix_pairs(nodes, family, labels, percent), family, percent))
     # links, and each set's copies: all by document id
-    final = components(links.unionByName(more))
+    final = labels if more.isEmpty() else components(links.unionByName(more))
     named = reps.join(final, reps["doc_id"] == final["node"], "left").select("name", F.coalesce("label", "doc_id").alias("label"))
     out = told.join(named, "name", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
 
