@@ -92,15 +92,17 @@ class Models:
     def losses(self, model: int, doc: np.ndarray, word: np.ndarray, left: np.ndarray, pair: np.ndarray, own: np.ndarray) -> np.ndarray:
         """The loss of each word in nats; own: 1 where the word's document is in the model, which then leaves it out."""
 
-        def mine(x: np.ndarray, bits: int) -> np.ndarray:
+        def mine(x: np.ndarray, among: np.ndarray, bits: int) -> np.ndarray:
+            """How often each cell of x occurs in its own document, among that document's cells."""
+            cells, times = np.unique((doc << bits) | among, return_counts=True)
             key = (doc << bits) | x
-            _, back, times = np.unique(key, return_inverse=True, return_counts=True)
-            return times[back] * own
+            at = np.minimum(np.searchsorted(cells, key), max(len(cells) - 1, 0))
+            return np.where(cells[at] == key, times[at], 0) * own if len(cells) else own
 
         n = np.bincount(doc, minlength=int(doc.max()) + 1)[doc] * own if len(doc) else own
-        c_word = np.maximum(self.word[model][word] - mine(word, WORD_BITS), 0)
-        c_pair = np.maximum(self.pair[model][pair] - mine(pair, PAIR_BITS), 0)
-        c_left = np.where(left > 0, np.maximum(self.word[model][left] - mine(left, WORD_BITS), 0), 0)
+        c_word = np.maximum(self.word[model][word] - mine(word, word, WORD_BITS), 0)
+        c_pair = np.maximum(self.pair[model][pair] - mine(pair, pair, PAIR_BITS), 0)
+        c_left = np.where(left > 0, np.maximum(self.word[model][left] - mine(left, word, WORD_BITS), 0), 0)
         p_word = (c_word + 0.5) / (np.maximum(self.total[model] - n, 0) + 0.5 * (1 << WORD_BITS))
         # pairs that share a cell may count more than the word before them: a share is never above 1
         share = np.minimum(c_pair, c_left) / np.maximum(c_left, 1)

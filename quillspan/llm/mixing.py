@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import cut, free_name, small
+from .runtime import cut, small
 
 ROUNDS = 40
 
@@ -192,68 +192,56 @@ def mix(
     source; null sizes count as 0; rows that repeat an id are documents of their own in the same block.  The
     same rows give the same draws.  The number of sources is assumed small enough for one row of quotas.
     """
-    taken = {c.lower() for c in sized.columns}
-    names = {k: free_name(sized, f"_{k}") for k in ("id", "rank", "block", "size", "n")}
-    if clash := taken & {"source_size", "target", "draws"}:
-        sized = sized.drop(*[c for c in sized.columns if c.lower() in clash])
+    given = [c for c in sized.columns if c.lower() not in ("source_size", "target", "draws")]
+    # the columns that came travel in one, so none of their names can clash with those used here
     size = F.coalesce(F.col(size_col), F.lit(0)).cast("long")
-    lean = sized.select(F.col(source_col).alias("source"), size.alias("size"))
+    lean = sized.select(F.struct(*given).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
     goals = cut(targets(lean, "source", "size", weights, cap))
     total = goals.agg(F.sum("source_size")).first()[0] or 0
     words = max(least_words, -(-total // most_blocks))
-    passes = F.floor(F.col("target") / F.col("source_size") + 1e-12)
+    passes = F.floor(F.try_divide(F.col("target"), F.col("source_size")) + 1e-12)
     plan = goals.select(
         "*",
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / words)).cast("long").alias("deal"),
         F.coalesce(passes, F.lit(0)).cast("long").alias("passes"),
     ).withColumn("rest", F.greatest(F.col("target") - F.col("passes") * F.col("source_size"), F.lit(0.0)))
-    plan = small(plan.select(F.col("source").alias("_plan_source"), "source_size", "target", F.col("rank").alias(names["rank"]), F.col("deal").alias("_deal"), "passes", "rest"))
-    wanted = [*sized.columns, "source_size", "target", names["rank"], names["size"], names["block"]]
-
-    def deal(df: DataFrame) -> DataFrame:
-        at = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.col("_deal"))
-        return df.join(plan, F.col(source_col).eqNullSafe(F.col("_plan_source"))).withColumns({names["size"]: size, names["block"]: at}).select(*wanted)
-
-    dealt = deal(sized)
-    lean = dealt.select(F.col(names["rank"]).alias("rank"), F.col(names["block"]).alias("block"), F.col(names["size"]).alias("size"))
-    blocks = cut(_blocks(lean, plan.select(F.col(names["rank"]).alias("rank"), "passes", "rest"), seed))
+    plan = small(plan.withColumnRenamed("source", "of"))
+    dealt = lean.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("deal")))
+    dealt = dealt.select("row", "id", "size", "source_size", "target", "rank", "block")
+    blocks = cut(_blocks(dealt.select("rank", "block", "size"), plan.select("rank", "passes", "rest"), seed))
     leaves = cut(_leaves(blocks, shards, seed))
     drawn = cut(
         blocks.join(small(leaves), "rank").select(
-            F.col("rank").alias(names["rank"]),
-            F.col("block").alias(names["block"]),
+            "rank",
+            "block",
             *[
                 F.transform(draws, lambda d: F.struct(F.size(F.filter("ends", lambda e: e <= d)).alias("shard"), d.alias("place"))).alias(name)
-                for name, draws in (("draws", F.col("draws")), ("_last", F.array_compact(F.array("part"))))
+                for name, draws in (("draws", F.col("draws")), ("last", F.array_compact(F.array("part"))))
             ],
-            F.when(F.col("part").isNotNull(), F.col("room")).alias("_room"),
+            F.when(F.col("part").isNotNull(), F.col("room")).alias("room"),
         )
     )
-    drawn = small(drawn, 4 * most_blocks)
-    both = [names["rank"], names["block"]]
-    rows = dealt.join(drawn, both)
-    whole = rows.where("_room IS NULL")
+    rows = dealt.join(small(drawn, 4 * most_blocks), ["rank", "block"])
+    whole = rows.where("room IS NULL")
     # the rows of the one block of a source that is taken in part: in hash order what still fits, four times
     # over what is left, then the row nearest to the last gap if that brings the sum closer
-    block = Window.partitionBy(*both)
-    order = block.orderBy(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.col(id_col), F.col(names["size"]))
-    part = rows.where("_room IS NOT NULL").withColumns({"_got": F.lit(False), "_gap": F.col("_room")})
+    block = Window.partitionBy("rank", "block")
+    order = block.orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "size")
+    part = rows.where("room IS NOT NULL").withColumns({"got": F.lit(False), "gap": F.col("room")})
     for _ in range(4):
-        fits = ~F.col("_got") & (F.col(names["size"]) <= F.col("_gap"))
-        part = part.withColumn(names["n"], F.sum(F.when(fits, F.col(names["size"])).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        part = part.withColumn("_take", fits & (F.col(names["n"]) <= F.col("_gap")))
-        part = part.withColumns({"_got": F.col("_got") | F.col("_take"), "_gap": F.col("_gap") - F.max(F.when(F.col("_take"), F.col(names["n"])).otherwise(0)).over(block)})
-    miss = F.when(~F.col("_got") & (F.col(names["size"]) < 2 * F.col("_gap")), F.abs(F.col(names["size"]) - F.col("_gap")))
-    near = F.row_number().over(block.orderBy(F.asc_nulls_last(miss), F.col(id_col)))
-    part = part.withColumns({"_miss": miss, "_near": near})
-    part = part.withColumn("draws", F.when(F.col("_got") | ((F.col("_near") == 1) & F.col("_miss").isNotNull()), F.concat("draws", "_last")).otherwise(F.col("draws")))
-    out = [*sized.columns, "source_size", "target", "draws"]
+        fits = ~F.col("got") & (F.col("size") <= F.col("gap"))
+        part = part.withColumn("sum", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        part = part.withColumn("take", fits & (F.col("sum") <= F.col("gap")))
+        part = part.withColumns({"got": F.col("got") | F.col("take"), "gap": F.col("gap") - F.max(F.when(F.col("take"), F.col("sum")).otherwise(0)).over(block)})
+    miss = F.when(~F.col("got") & (F.col("size") < 2 * F.col("gap")), F.abs(F.col("size") - F.col("gap")))
+    part = part.withColumns({"miss": miss, "near": F.row_number().over(block.orderBy(F.asc_nulls_last(miss), "id"))})
+    part = part.withColumn("draws", F.when(F.col("got") | ((F.col("near") == 1) & F.col("miss").isNotNull()), F.concat("draws", "last")).otherwise(F.col("draws")))
+    out = ["row.*", "source_size", "target", "draws"]
     return whole.select(*out).unionByName(part.select(*out))
 
 
 def mixed_rows(mixed: DataFrame, columns: list[str], id_col: str = "doc_id", seed: int = 7) -> DataFrame:
     """The rows of the mix with the given columns, copies repeated, by shard and shuffled within each."""
-    rows = mixed.select(*columns, F.explode("draws").alias("_draw")).withColumns(
-        {"_shard": F.col("_draw.shard"), "_order": F.xxhash64(F.col(id_col), F.col("_draw.place"), F.lit(seed))}
-    )
-    return rows.repartition("_shard").sortWithinPartitions("_shard", "_order").select(*columns)
+    rows = mixed.select(F.struct(*columns).alias("row"), F.col(id_col).alias("id"), F.explode("draws").alias("draw"))
+    rows = rows.select("row", F.col("draw.shard").alias("shard"), F.xxhash64("id", "draw.place", F.lit(seed)).alias("turn"))
+    return rows.repartition("shard").sortWithinPartitions("shard", "turn").select("row.*")

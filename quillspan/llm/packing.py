@@ -108,6 +108,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     Each sequence is gapless from 0 and holds at most capacity ids; pieces are never cut here, and lengths
     outside 1..capacity are an error.  Ties are broken by doc_id and piece; repeated rows are placed each.
     """
+    pieces = pieces.drop("sequence_id", "offset", "_part")
     parts = max(1, min(65536, input_bytes(pieces) // (8 << 20), 8 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     pieces = cut(pieces)  # else the sampling for the ranges would make every piece once more
     ordered = pieces.repartitionByRange(parts, F.desc("length"), "doc_id", "piece").sortWithinPartitions(F.desc("length"), "doc_id", "piece")

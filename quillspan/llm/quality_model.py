@@ -94,7 +94,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     edge[offsets[:-1]] = True
     starts = np.flatnonzero(edge[: len(data)])
     starts = starts[data[starts] != 10]
-    ends = np.append(starts[1:], len(data))
+    stops = np.sort(np.concatenate([np.flatnonzero(data == 10), offsets[1:]]))
+    ends = stops[np.searchsorted(stops, starts, "right")] if len(starts) else starts
     lines.data, lines.first, lines.end = data, starts, ends
     line_doc = np.searchsorted(offsets, starts, "right") - 1
     n_lines = np.bincount(line_doc, minlength=n_docs)

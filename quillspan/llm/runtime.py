@@ -53,11 +53,3 @@ def word_count(text: Column) -> Column:
     """Number of words of a text; a null text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """name, with underscores in front until no column of df clashes with it, whatever the case."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
