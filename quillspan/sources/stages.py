@@ -14,10 +14,13 @@ CORRUPT = "_corrupt_record"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Good rows with file_name, and the files that don't fit the schema."""
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(wide).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path).select("*", F.col("_metadata.file_name").alias("file_name"))
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select("file_name", CORRUPT)
+    """file_name and items (an array: a file holds one object or a list of them), and the files that don't fit."""
+    wide = T.ArrayType(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    text = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(F.trim(F.regexp_replace("value", r"^\s+", "")).alias("value"), F.col("_metadata.file_name").alias("file_name"))
+    listed = F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    rows = text.withColumn("items", F.from_json(listed, wide, {"columnNameOfCorruptRecord": CORRUPT}))
+    bad = F.col("items").isNull() | F.exists("items", lambda x: x[CORRUPT].isNotNull())
+    return rows.where(~bad).select("file_name", "items"), rows.where(bad).select("file_name", F.col("value").alias(CORRUPT))
 
 
 def _long(rows: DataFrame, *keys: str) -> DataFrame:
@@ -30,17 +33,15 @@ def _long(rows: DataFrame, *keys: str) -> DataFrame:
 def read_passage_entities(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Entities by passage (a list for each file), and files that don't fit: doc_id is the file's name."""
     rows, bad = _read(spark, path, _NAMES)
-    rows = rows.withColumn("doc_id", F.regexp_replace("file_name", r"\.json$", ""))
-    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
-    first = numbered.groupBy("doc_id").agg(F.min("_at").alias("_first"))
-    placed = numbered.join(first, "doc_id").withColumn("passage_idx", (F.col("_at") - F.col("_first")).cast("int"))
-    return _long(placed, "doc_id", "passage_idx"), bad
+    each = rows.select(F.regexp_replace("file_name", r"\.json$", "").alias("doc_id"), F.posexplode("items").alias("passage_idx", "x"))
+    return _long(each.select("doc_id", "passage_idx", "x.*"), "doc_id", "passage_idx"), bad
 
 
 def read_document_entities(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Entities by document, and files that don't fit."""
     rows, bad = _read(spark, path, _NAMES)
-    return _long(rows.withColumn("doc_id", F.regexp_replace("file_name", r"\.json$", "")), "doc_id"), bad
+    each = rows.select(F.regexp_replace("file_name", r"\.json$", "").alias("doc_id"), F.explode("items").alias("x"))
+    return _long(each.select("doc_id", "x.*"), "doc_id"), bad
 
 
 def read_relations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -49,6 +50,7 @@ def read_relations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     rows = rows.where(~F.col("file_name").rlike("_not_evaluated|_no_relationships"))
     number = F.regexp_extract("file_name", r"PMC(\d+)", 0)
     rows = rows.withColumn("pmcid", F.when(number != "", number).otherwise("Unknown"))
+    rows = rows.select("pmcid", F.flatten("items.relations").alias("relations"))
     return rows.select("pmcid", F.posexplode("relations").alias("row_idx", "r")).select("pmcid", "row_idx", "r.*"), bad
 
 
