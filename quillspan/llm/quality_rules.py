@@ -156,13 +156,15 @@ def quality_rules(
     least_words: int = 50,
     most_class_distance: float = 0.30,
     most_word_distance: float = 0.36,
+    most_languages: int = 64,
 ) -> DataFrame:
     """doc_id, the base counts, base_failed, class_distance, word_distance and kept, for each row.
 
     A document is kept if it passes the base rules and neither distance to its nearest language exceeds its
     limit.  Texts of fewer than least_chars characters or least_words words skip the distance concerned (null):
     short histograms say little.  references: see fit_references(); by default from these documents.  Without any
-    reference (an empty table, or every text short) only the base rules hold.  Repeated rows are judged each.
+    reference (an empty table, or every text short) only the base rules hold.  References are those of the
+    most_languages languages with the most documents.  Repeated rows are judged each.
     """
     lean = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     measured = histograms(base_counts(lean), least_words=least_words).drop("text")
@@ -170,7 +172,8 @@ def quality_rules(
     measured = cut(measured.withColumn("base_failed", failed))
     if references is None:
         references = fit_references(measured)
-    refs = [(r["classes"], r["common"]) for r in references.collect()]  # a row for each language
+    largest = references.orderBy(F.desc("n_docs"), "lang").limit(most_languages)
+    refs = [(r["classes"], r["common"]) for r in largest.collect()]
 
     def nearest(column: str, at: int) -> Column:
         reach = [js_distance(F.col(column), F.array(*[F.lit(float(x)) for x in r[at]])) for r in refs]
