@@ -120,3 +120,25 @@ def attach_once(entities: DataFrame, classes: DataFrame, key: str, *order: str)
     joined = marked.join(classes, key, "left")
     new = [c for c in classes.columns if c != key]
     return joined.select(*[c for c in entities.columns], *[F.when(F.col("_first"), F.col(c)).alias(c) for c in new])
+
+
+def classify_compounds(entities: DataFrame, classifier, *order: str) -> DataFrame:
+    """entities with Classyfire: what the provider says of an InChIKey, on its first compound alone.
+
+    Asked are compounds that have SMILES and InChIKey, each key once; classifier takes InChIKey and SMILES and gives
+    InChIKey, Kingdom, Superclass, Class and Subclass.
+    """
+    ready = entities.where("entity_type = 'compounds' AND SMILES IS NOT NULL AND InChIKey IS NOT NULL")
+    asked = ready.groupBy("InChIKey").agg(F.min("SMILES").alias("SMILES"))
+    classes = classifier(asked).select("InChIKey", F.struct("Kingdom", "Superclass", "Class", "Subclass").alias("Classyfire"))
+    return attach_once(entities, classes, "InChIKey", *order)
+
+
+def natural_products(entities: DataFrame, classifier) -> DataFrame:
+    """entities with Natural_product_class of compounds without an ontology_id: classifier takes distinct SMILES and
+    gives SMILES, Np_class and Np_superclass (arrays)."""
+    asked = F.when((F.col("entity_type") == "compounds") & F.col("ontology_id").isNull(), F.col("SMILES"))
+    keyed = entities.withColumn("_smiles", asked)
+    classes = classifier(keyed.select(F.col("_smiles").alias("SMILES")).where("SMILES IS NOT NULL").distinct())
+    classes = classes.select(F.col("SMILES").alias("_smiles"), F.struct("Np_class", "Np_superclass").alias("Natural_product_class"))
+    return keyed.join(classes, "_smiles", "left").drop("_smiles")

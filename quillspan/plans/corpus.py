@@ -31,6 +31,8 @@ class Providers:
     predictor: providers.RelationPredictor
     judge: providers.RelationJudge
     embedder: providers.Embedder
+    classifier: providers.CompoundClassifier | None = None  # InChIKey and SMILES to ClassyFire classes
+    np_classifier: providers.CompoundClassifier | None = None  # SMILES to natural product classes
 
 
 def link_ontologies(located: DataFrame, terms: DataFrame, embed: providers.Embedder) -> DataFrame:
@@ -72,7 +74,12 @@ def document_entities(read: DataFrame, given: Providers, ref: Reference) -> Data
     """Selected passages to the entities of each document."""
     extracted = passages.override(given.extractor(read), passages.pre_annotations(read)) if "annotation" in read.columns else given.extractor(read)
     located = materialise(mentions.drop_unfound(mentions.locate(extracted, read)))
-    merged = merging.merge_duplicates(link_all(located, ref, given.embedder))
+    linked = link_all(located, ref, given.embedder)
+    if given.classifier is not None:
+        linked = linking.classify_compounds(linked, given.classifier, "doc_id", "passage_idx", "entity_idx")
+    if given.np_classifier is not None:
+        linked = linking.natural_products(linked, given.np_classifier)
+    merged = merging.merge_duplicates(linked)
     return merging.merge_abbreviations(merged.drop("merge_key"), abbreviations.detect(read.withColumn("passage_idx", F.col("passage_idx").cast("int"))))
 
 
