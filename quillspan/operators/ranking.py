@@ -56,9 +56,9 @@ def proximity(a: Column, b: Column) -> Column:
 
 def sentence_indices(counts: DataFrame, units: DataFrame) -> DataFrame:
     """counts with sent: the sentence within the unit of each mention.  units has text as well."""
-    joined = counts.join(units.select("doc_id", "unit_idx", "text"), ["doc_id", "unit_idx"])
-    placed = joined.withColumn("_sentences", sentence_spans(F.col("text"), F.col("u_start")))
-    return placed.withColumn("sent", F.transform("pos", lambda p: sentence_of(p, F.col("_sentences")))).drop("_sentences", "text")
+    places = units.select("doc_id", "unit_idx", sentence_spans(F.col("text"), F.col("u_start")).alias("_sentences"))  # not the text itself
+    joined = counts.join(places, ["doc_id", "unit_idx"])
+    return joined.withColumn("sent", F.transform("pos", lambda p: sentence_of(p, F.col("_sentences")))).drop("_sentences")
 
 
 def pair_units(weighed: DataFrame) -> DataFrame:
