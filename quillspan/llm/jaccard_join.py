@@ -156,6 +156,7 @@ def _stars(family: DataFrame, percent: int) -> DataFrame:
             active = active.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_anti").join(held, "node", "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long")))
         turn = F.struct((-F.col("held")).alias("h"), "alone", "node")
         pivots = active.groupBy("by").agg(F.min_by(F.struct("node", "n", "text"), turn).alias("p"), F.count("*").alias("m")).where("m > 1")
+        pivots = cut(pivots)  # a plain table: the join can split a frequent key's rows
         pairs = active.join(pivots, "by").where((F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
         pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("text").alias("sa"), F.col("p.text").alias("sb"))
         found = cut(pairs.mapInArrow(_similar(percent), "a long, b long").distinct())
