@@ -13,15 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .runtime import cut, small
+from .runtime import cut, input_bytes, small
 
 WORD_BITS, PAIR_BITS = 18, 22
 #: Cells are counted in slices of this many, each a row.
-_SLICE = 1 << 16
+_SLICE = 1 << 14
+FAN_IN = 16
 SLICES = ((1 << WORD_BITS) + (1 << PAIR_BITS)) // _SLICE
 
 
@@ -56,26 +58,48 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total[1] += np.bincount(both[np.concatenate([wanted, wanted])], minlength=size).astype(np.uint32)
     for k in range(SLICES):
         part = total[:, k * _SLICE : (k + 1) * _SLICE]
-        at = np.flatnonzero(part[0])
-        if len(at):
-            blob = at.astype("<u2").tobytes() + part[0][at].astype("<u4").tobytes() + part[1][at].astype("<u4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blob], pa.binary())], ["slice", "counts"])
+        if part[0].any():
+            yield _slices([k], [TaskContext.get().partitionId()], [_pack(part.astype(np.int64))])
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(blob) // 10
-    at = np.frombuffer(blob, "<u2", n).astype(np.int64)
-    return at, np.frombuffer(blob, "<u4", 2 * n, 2 * n).reshape(2, n)
+def _slices(slices: list[int], parts: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], ["slice", "part", "counts"])
 
 
-def _merge(key, table):
-    total = np.zeros((2, _SLICE), np.float32)
-    exact = np.zeros((2, _SLICE), np.int64)
-    for blob in table.column("counts").to_pylist():
-        at, counts = _unpack(blob)
-        exact[:, at] += counts
-    total[:] = exact
-    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+def _pack(counts: np.ndarray, kind: str = "<i8") -> bytes:
+    at = np.flatnonzero(counts[0])
+    return at.astype("<u2").tobytes() + counts[:, at].astype(kind).tobytes()
+
+
+def _unpack(blob: bytes, kind: str = "<i8") -> tuple[np.ndarray, np.ndarray]:
+    n = len(blob) // (2 + 2 * np.dtype(kind).itemsize)
+    return np.frombuffer(blob, "<u2", n).astype(np.int64), np.frombuffer(blob, kind, 2 * n, 2 * n).reshape(2, n)
+
+
+def _merger(kind: str):
+    def merge(key, table):
+        """The sum of some partitions' counts of a slice: FAN_IN of them at most."""
+        total = np.zeros((2, _SLICE), np.int64)
+        for blob in table.column("counts").to_pylist():
+            at, counts = _unpack(blob)
+            total[:, at] += counts
+        return pa.Table.from_batches([_slices([key[0].as_py()], [key[1].as_py()], [_pack(total, kind)])])
+
+    return merge
+
+
+def count_cells(rows: DataFrame) -> DataFrame:
+    """slice, part and counts: the sums over all partitions, added up in a tree, so that no task gets them all; the
+    last ones as floats, which is what the models hold."""
+    schema = "slice int, part int, counts binary"
+    spark = rows.sparkSession
+    counts = rows.mapInArrow(_count, schema)
+    parts = max(2, input_bytes(rows) >> 23, int(spark.conf.get("spark.sql.shuffle.partitions")))  # about as many as there are
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        merge = _merger("<i8" if parts > 1 else "<f4")
+        counts = counts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("slice", "part").applyInArrow(merge, schema)
+    return counts
 
 
 class Models:
@@ -84,7 +108,8 @@ class Models:
     def __init__(self, rows: list[tuple[int, bytes]], trust: float = 8.0):
         counts = np.zeros((2, SLICES * _SLICE), np.float32)
         for k, blob in rows:
-            counts[:, k * _SLICE : (k + 1) * _SLICE] = np.frombuffer(blob, np.float32).reshape(2, _SLICE)
+            at, part = _unpack(blob, "<f4")
+            counts[:, k * _SLICE + at] += part
         self.word, self.pair = counts[:, : 1 << WORD_BITS], counts[:, 1 << WORD_BITS :]
         self.total = self.word.astype(np.float64).sum(axis=1)
         self.trust = trust
@@ -120,8 +145,7 @@ def lm_scores(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", te
     wanted = small(wanted, 500_000)  # a larger target is joined by a shuffle
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = ids.join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
-    counts = rows.mapInArrow(_count, "slice int, counts binary").groupBy("slice").applyInArrow(_merge, "slice int, counts binary")
-    models = Models([(r["slice"], bytes(r["counts"])) for r in cut(counts).collect()])  # SLICES rows of fixed size
+    models = Models([(r["slice"], bytes(r["counts"])) for r in cut(count_cells(rows)).collect()])  # SLICES rows of fixed size
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
