@@ -29,9 +29,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
     from .quality_rules import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents"))
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,18 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
+OP5_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM hit, range(0, 13) r(k)),
+each AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT doc_id, string_agg(ws[j], ' ' ORDER BY j) AS rest, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, j) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import cut_pieces, pack
 
@@ -117,6 +132,23 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT x.a, x.b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY ALL) x
+  JOIN n na ON na.doc_id = x.a JOIN n nb ON nb.doc_id = x.b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(reach.b), w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id
+"""
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .wavelet import token_table
 
@@ -139,4 +171,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op8_license_scan": op8_sql()}
+    from .rules_sql import rules_sql
+
+    return {"op2_divergence_rules": rules_sql(), "op5_substring_dedup": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_license_scan": op8_sql(), "op9_jaccard_join": OP9_SQL}
