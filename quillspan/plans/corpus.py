@@ -115,16 +115,20 @@ def run(spark: SparkSession, articles: DataFrame, folder: str, given: Providers,
 
 
 def _resumed(spark: SparkSession, path: str, read: DataFrame, make) -> DataFrame:
-    """The table at path, after what is missing has been added; documents without any row are noted beside it."""
+    """The table at path, after what is missing has been added.
+
+    Each run writes a part of its own and then, beside the table, which documents it has done.  A run that broke
+    off in between has no such note: the next one has its number and writes over its part.
+    """
     try:
         done = spark.read.parquet(f"{path}.done")
+        number = done.agg(F.max("run")).first()[0] + 1
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        done = None
-    todo = read if done is None else loading.pending(read, done)
-    new = materialise(todo)
+        done, number = None, 0
+    new = materialise(read if done is None else loading.pending(read, done))
     if not new.isEmpty():
-        make(new).write.mode("append").parquet(path)
-        new.select("doc_id").distinct().write.mode("append").parquet(f"{path}.done")
-    return spark.read.parquet(path)
+        make(new).write.mode("overwrite").parquet(f"{path}/run={number}")
+        new.select("doc_id").distinct().write.mode("overwrite").parquet(f"{path}.done/run={number}")
+    return spark.read.parquet(path).drop("run")

@@ -5,32 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.loading import pending
+from ..session import materialise
 from ..sources.articles import stream_articles
 
 
 def ingest(spark: SparkSession, folder: str, output: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], once: bool = True) -> StreamingQuery:
     """Starts a query that writes process(articles) under output, each article once.
 
-    The checkpoint keeps which files were read.  A batch that runs again after a failure leaves out the
-    articles that its first run has written, so results are neither lost nor doubled.
+    The checkpoint keeps which files were read.  A batch writes its rows and its articles' ids under its own
+    number and leaves out articles of other batches; if it runs again after a failure, it writes the same over
+    them.  So results are neither lost nor doubled.
     """
 
     def batch(articles: DataFrame, epoch: int) -> None:
         new = articles.dropDuplicates(["id"])
         try:
-            done = articles.sparkSession.read.parquet(f"{output}/done")
+            done = articles.sparkSession.read.parquet(f"{output}/done").where(F.col("epoch") != epoch)
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             done = None
-        if done is not None:
-            new = pending(new, done, "id")
-        result = process(new)
-        result.write.mode("overwrite").parquet(f"{output}/rows/epoch={epoch}")
-        new.select("id").write.mode("append").parquet(f"{output}/done")
+        new = materialise(new if done is None else pending(new, done, "id"))
+        process(new).write.mode("overwrite").parquet(f"{output}/rows/epoch={epoch}")
+        new.select("id").write.mode("overwrite").parquet(f"{output}/done/epoch={epoch}")
 
     writer = stream_articles(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()

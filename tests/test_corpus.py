@@ -70,3 +70,27 @@ def test_streaming(spark, folder):
     (folder / "in" / "PMC9.xml").write_text(ARTICLE.format(id="PMC9"))
     (folder / "in" / "copy.xml").write_text(ARTICLE.format(id="PMC1"))
     assert go() == [("PMC1", 2), ("PMC2", 2), ("PMC9", 2)]
+
+
+def test_a_run_that_broke_off_is_written_over(spark, folder):
+    articles = read_articles(spark, str(folder / "in"))
+    out = str(folder / "out")
+    corpus.run(spark, articles, out, given(spark))
+    n = spark.read.parquet(f"{out}/entities").count()
+    # as if a second run had written its part, but not its note
+    spark.read.parquet(f"{out}/entities").drop("run").write.parquet(f"{out}/entities/run=1")
+    (folder / "in" / "PMC5.xml").write_text(ARTICLE.format(id="PMC5"))
+    corpus.run(spark, read_articles(spark, str(folder / "in")), out, given(spark))
+    assert spark.read.parquet(f"{out}/entities").count() == n // 2 * 3
+
+
+def test_a_batch_that_runs_again_writes_the_same(spark, folder):
+    import shutil
+
+    def go():
+        ingest(spark, str(folder / "in"), str(folder / "out"), str(folder / "check"), lambda a: a.select("id")).awaitTermination(120)
+        return sorted(r["id"] for r in spark.read.parquet(str(folder / "out" / "rows")).collect())
+
+    assert go() == ["PMC1", "PMC2"]
+    shutil.rmtree(folder / "check" / "commits")
+    assert go() == ["PMC1", "PMC2"]
