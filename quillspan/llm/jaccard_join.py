@@ -167,7 +167,7 @@ def _stars(family: DataFrame, percent: int) -> DataFrame:
 def _matrix_pairs(nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different groups that may be linked, by the token-group matrix."""
     grouped = nodes.select("node", "n").join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("grp"))
-    sizes = grouped.groupBy("grp").agg(F.count("*").alias("m"))
+    sizes = cut(grouped.groupBy("grp").agg(F.count("*").alias("m")))  # plain, so that a large group's rows can be split
     grouped = cut(grouped.join(sizes, "grp"))
 
     def reach(n: Column, rest: Column, least: Column) -> Column:
