@@ -7,6 +7,7 @@ import corpus_pipeline
 from quillspan.llm.queries import queries, tokenizer_path
 from test_exact_dedup import brute as equal_texts
 from test_jaccard_join import brute as similar
+from test_jaccard_join import shingles
 from test_mixing import level
 from test_packing import best_fit_decreasing
 
@@ -73,3 +74,14 @@ def test_packing_is_tight(stages):
     assert columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert sum(r["piece"] == 0 for r in after) == len(before)
     assert len({r["sequence_id"] for r in after}) <= best_fit_decreasing([r["length"] for r in after], 2048) + 1
+
+
+def test_near_copies_link_by_80_percent_of_5_words(spark, data):
+    text = [f"w{i}" for i in range(200)]
+    rows = [(1, text), (2, [*text, *(f"more{i}" for i in range(40))]), (3, [*text, *(f"much{i}" for i in range(60))]), (4, ["x", *text[:150]]), (6, [f"z{i}" for i in range(50)])]
+    sets = {i: shingles(" ".join(t), 5) for i, t in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert linked == {(1, 2)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, data).collect()}
+    assert kept == {1, 3, 4, 6}
