@@ -14,23 +14,42 @@ from quillspan.llm.mixing import mix, mixed_rows
 from quillspan.llm.packing import cut_pieces, pack
 from quillspan.llm.quality_model import classify
 from quillspan.llm.queries import tokenizer_path
-from quillspan.llm.runtime import shared_dir, word_count
+from quillspan.llm.runtime import cut, shared_dir, word_count
 from quillspan.session import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_digest(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+
+
 def _where_kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among those of kept; both may have a null one."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    """The rows of docs whose doc_id and _sha are those of a row of kept; ids may be null or repeated."""
+    ids = kept.select(F.col("doc_id").alias("_kept_id"), F.col("_sha").alias("_kept_sha"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]) & (docs["_sha"] == ids["_kept_sha"]), "left_semi")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with _row, which distinct rows of id and text have for themselves, in the order of doc_id (null ids last).
+
+    Where no id is null or repeated, it is the doc_id.
+    """
+    unclear = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1")
+    if not unclear.limit(1).count():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    docs = _with_digest(docs)
+    order = docs.select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_text")).distinct().orderBy(F.asc_nulls_last("_id"), "_text")
+    rows = cut(order.withColumn("_row", F.monotonically_increasing_id()))
+    return docs.join(rows, docs["doc_id"].eqNullSafe(rows["_id"]) & (docs["_sha"] == rows["_text"])).dropDuplicates(["_row"]).drop("_id", "_text", "_sha")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good."""
     ship(spark)
-    judged = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _where_kept(docs, judged.where("predicted = 1"))
+    docs = _with_digest(docs)
+    judged = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=("_sha",))
+    return _where_kept(docs, judged.where("predicted = 1")).drop("_sha")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +61,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id; 80 % of the shingles of 5 words link."""
     ship(spark)
-    joined = similar_documents(docs, shingle=5, percent=80)
-    return _where_kept(docs, joined.where("component_id IS NULL OR component_id = doc_id"))
+    rows = _numbered(docs)
+    joined = similar_documents(rows, id_col="_row", shingle=5, percent=80)
+    stay = joined.where("component_id = doc_id").select(F.col("doc_id").alias("_row"))
+    return rows.join(stay, "_row", "left_semi").select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,12 +118,15 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in words.pieces(batch, "text", 2 << 20):
             x = statistics(data, offsets)
             stats = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), stats], ["doc_id", "stats"])
+            others = [c for c in rows.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*rows.select(others).columns, stats], [*others, "stats"])
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and stats (see NAMES) of every row; nothing but the text goes in."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_measure, "doc_id long, stats array<double>")
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of keep and stats (see NAMES) of every row; nothing but the text goes in."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).alias("text"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
+    return rows.mapInArrow(_measure, f"{kept}, stats array<double>")
 
 
 class Model:
@@ -235,18 +238,18 @@ def score(measured: DataFrame, model: Model | None, keep: list[str], threshold:
     return measured.mapInArrow(work, f"{kept}, score double, predicted int")
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row.
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: tuple[str, ...] = (), **options) -> DataFrame:
+    """doc_id, the columns of keep, held_out, score and predicted of every row.
 
     Labels come from the rows of ``labels`` whose crc32(doc_id as text) mod 5 is not 0; several labels of an
     id are averaged, null ones are no labels.  Without both kinds of label every score is 0.5.  Empty and null
     texts are scored too.  Repeated rows are scored each, and each counts as a labelled row.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    measured = cut(document_statistics(docs, id_col, text_col))
+    measured = cut(document_statistics(docs, id_col, text_col, keep))
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
     known = known.where(fold != 0).groupBy("doc_id").agg(F.avg("label").alias("label"))
     labelled = measured.join(known, "doc_id").withColumn("half", (fold % 2).cast("int"))
     model = fit(labelled.select("doc_id", "stats", "label", "half"), **options)
     rows = measured.withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
-    return score(rows, model, ["doc_id", "held_out"])
+    return score(rows, model, ["doc_id", *keep, "held_out"])

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillspan.llm.queries import queries, tokenizer_path
@@ -85,3 +86,27 @@ def test_near_copies_link_by_80_percent_of_5_words(spark, data):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, data).collect()}
     assert kept == {1, 3, 4, 6}
+
+
+def test_decisions_hold_for_null_and_repeated_ids(spark, data):
+    text = [f"w{i}" for i in range(200)]
+    near, other, third = [*text, "x"], [f"o{i}" for i in range(60)], [f"t{i}" for i in range(60)]
+    rows = [(1, text), (7, near), (7, other), (None, [*text, "y"]), (None, third), (None, [*third, "z"]), (9, [*other, "z"]), (2, None)]
+    docs = spark.createDataFrame([(i, t and " ".join(t)) for i, t in rows], "doc_id long, text string")
+    after = [(r["doc_id"], r["text"]) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, data).collect()]
+    assert len(after) == 4 and {(1, " ".join(text)), (7, " ".join(other)), (2, None)} < set(after)
+    assert [t.startswith("t0 ") for i, t in after if i is None] == [True]
+
+
+@pytest.mark.parametrize("new_id", [None, 5])
+def test_classifier_judges_rows_of_one_id_apart(spark, data, new_id):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    unlabelled = docs.withColumn("doc_id", docs["doc_id"] + 10_000_000)
+    alone = {r["doc_id"] - 10_000_000 for r in corpus_pipeline.quality_classifier(spark, docs.unionByName(unlabelled), data).collect() if r["doc_id"] >= 10_000_000}
+    ids = {r["doc_id"]: r["text"] for r in docs.collect()}
+    good, bad = next(i for i in sorted(alone) if labels.get(i) == 1), next(i for i in sorted(ids) if i not in alone and labels.get(i) == 0)
+    pair = docs.where(docs["doc_id"].isin(good, bad))
+    pair = pair.withColumn("doc_id", F.lit(None if new_id is None else 10_000_000 + new_id).cast("long"))
+    after = [r["text"] for r in corpus_pipeline.quality_classifier(spark, docs.unionByName(pair), data).collect() if r["doc_id"] is None or r["doc_id"] >= 10_000_000]
+    assert after == [ids[good]]
