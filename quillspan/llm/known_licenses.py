@@ -1,5 +1,7 @@
 """Spellings that licences use alike, and known licence texts and notices."""
 
+from .license_texts import FULL
+
 #: found, common form; applied in this order, whole words.
 SPELLINGS = [
     ("licence", "license"),
@@ -106,3 +108,26 @@ specific language governing permissions and limitations under the License.
     "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
 }
+
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace(
+    "\nTHIS SOFTWARE IS PROVIDED",
+    """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED""",
+)
+TEXTS |= FULL
+
+#: The title lines that files of short licences start with.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+}
+for _name, _titles in TITLES.items():
+    for _k, _title in enumerate(_titles):
+        TEXTS[f"{_name}-titled-{_k + 1}"] = f"{_title}\n{TEXTS[_name]}"

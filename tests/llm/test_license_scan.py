@@ -17,3 +17,15 @@ def test_known_texts_in_other_dress(spark):
 def test_known_texts_differ(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS.values())), "doc_id long, text string")
     assert [r["license_id"] for r in license_scan(df).orderBy("doc_id").collect()] == list(TEXTS)
+
+
+def test_titled_files_and_full_texts(spark):
+    notice = "Copyright (c) 2020 Someone\n"
+    rows = [(f"{title}\n\n{notice}{TEXTS[name]}", name) for name, title in (("MIT", "MIT License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"))]
+    rows += [(notice + TEXTS["BSD-3-Clause"], "BSD-3-Clause")]
+    for name, words in (("Apache-2.0", 1500), ("GPL-2.0", 2500), ("GPL-3.0", 5000), ("LGPL-2.1", 4000), ("MPL-2.0", 2000), ("CC0-1.0", 900)):
+        assert len(TEXTS[name].split()) > words
+        rows.append((TEXTS[name].upper(), name))
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = [(r["license_id"] or "").split("-titled")[0] for r in license_scan(df).orderBy("doc_id").collect()]
+    assert got == [name for _, name in rows]
