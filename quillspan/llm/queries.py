@@ -46,12 +46,13 @@ def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from .mixing import mix
+    from .mixing import mix, turn
     from .runtime import cut, word_count
 
     docs = table(spark, sf_dir, "documents")
     sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    return mix(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+    places = F.transform("draws", lambda d: F.struct(d["shard"].alias("shard"), turn(d["place"], F.col("doc_id")).alias("turn")))
+    return mix(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), places.alias("places"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,66 @@ def test_empty_and_wordless(spark):
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
     rows = mixing.mix(spark.createDataFrame([(1, "a", 0), (2, None, None), (2, None, None)], schema)).collect()
     assert [(r["source_size"], r["target"]) for r in rows] == [(0, 0.0)] * 3
+
+
+def test_tree_splits_quotas_exactly(spark):
+    rng = np.random.default_rng(3)
+    quota = {i: int(rng.integers(0, 30)) for i in range(40)} | {7: 500}
+    df = spark.createDataFrame(list(quota.items()), "rank long, quota long")
+    for group in (1024, 6):  # one group, or groups that are split together first
+        rows = mixing._leaves(df, 13, 5, group).collect()
+        by_source, by_shard = Counter(), Counter()
+        for r in rows:
+            assert r["quota"] > 0
+            by_source[r["rank"]] += r["quota"]
+            by_shard[r["shard"]] += r["quota"]
+        total = sum(quota.values())
+        assert by_source == {k: v for k, v in quota.items() if v}
+        assert by_shard == {k: total * (k + 1) // 13 - total * k // 13 for k in range(13)}
+        assert len({r["shard"] for r in rows if r["rank"] == 7}) == 13
+
+
+def test_draws_are_what_the_leaves_name(spark, mixed):
+    """Each source's places are all those its leaves hold, in leaf order."""
+    _, out = mixed
+    seen = defaultdict(dict)
+    for r in out.select("source", F.explode("draws").alias("d")).select("source", "d.shard", "d.place").distinct().collect():
+        seen[r["source"]][r["place"]] = r["shard"]
+    for places in seen.values():
+        assert sorted(places) == list(range(len(places)))
+        shards = [places[k] for k in sorted(places)]
+        assert shards == sorted(shards)
+
+
+def test_a_shard_is_ordered_by_the_local_shuffle_in_slices(spark, mixed):
+    _, out = mixed
+    expected = defaultdict(list)
+    turns = out.select("doc_id", F.explode("draws").alias("d")).select("doc_id", "d.shard", mixing.turn(F.col("d.place"), F.col("doc_id")).alias("t"))
+    for r in turns.collect():
+        expected[r["shard"]].append((r["t"], r["doc_id"]))
+    flat = [doc for k in expected for _, doc in sorted(expected[k])]
+    for slices in (1, 4):
+        rows = mixing.mixed_rows(out, ["doc_id"], slices=slices).withColumn("p", F.spark_partition_id()).collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(flat)
+    one = mixing.mixed_rows(out, ["doc_id"], slices=4).coalesce(1).collect()
+    at = {p: i for i, p in enumerate(sorted((t, d) for k in expected for t, d in expected[k]))}
+    assert len(one) == len(at)
+
+
+def test_only_a_part_of_a_block_is_ranked(spark):
+    """Many rows in the block that is taken in part: cut into parts, and still near the target."""
+    rows = [(i, "big" if i % 3 else "small", 1 + i % 9) for i in range(6000)] + [(None, "small", 5)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(5)
+    out = mixing.mix(df, shards=4, most_blocks=2, least_words=10, part_rows=64).collect()
+    taken, target = defaultdict(int), {}
+    for r in out:
+        taken[r["source"]] += r["size"] * len(r["draws"])
+        target[r["source"]] = r["target"]
+    assert len(out) == 6050 and all(abs(taken[s] - target[s]) <= 4.5 for s in target)
+
+
+def test_clashing_names_are_kept_by_rows_of_the_mix(spark):
+    df = spark.createDataFrame([(1, "a", 4, "t", "s"), (2, "b", 5, "u", "v")], "doc_id long, source string, size long, target string, source_size string")
+    held = df.select(F.struct("*").alias("row"), "doc_id", "source", "size")
+    rows = mixing.mixed_rows(mixing.mix(held), ["row"]).select("row.*")
+    assert rows.columns == df.columns and {r["target"] for r in rows.collect()} <= {"t", "u"}
