@@ -62,12 +62,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that stay, with all their columns; one of those that repeat a row's id and text."""
+    """The rows of docs that stay, with all their columns, whatever their names; one of those that repeat a row's id
+    and text."""
     decided = exact_dedup(docs, id_col, text_col, **options)
-    stay = cut(decided.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")))
-    key, sha = "_copy_id", "_copy_sha"
-    rows = docs.withColumns({key: F.col(id_col).cast("long"), sha: F.sha2(normalised(F.col(text_col)).cast("binary"), 256)})
-    kept = rows.join(stay, rows[key].eqNullSafe(stay["doc_id"]) & (rows[sha] == stay["text_sha256"]), "left_semi")
+    stay = cut(decided.where("kept").groupBy(F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_sha")).agg(F.count("*").alias("n")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col(id_col).cast("long").alias("id"), F.sha2(normalised(F.col(text_col)).cast("binary"), 256).alias("sha"))
+    kept = rows.join(stay, rows["id"].eqNullSafe(stay["stay_id"]) & (rows["sha"] == stay["stay_sha"]), "left_semi")
     if stay.where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates([key, sha])
-    return kept.drop(key, sha)
+        kept = kept.dropDuplicates(["id", "sha"])
+    return kept.select("row.*")

@@ -110,3 +110,44 @@ def test_classifier_judges_rows_of_one_id_apart(spark, data, new_id):
     pair = pair.withColumn("doc_id", F.lit(None if new_id is None else 10_000_000 + new_id).cast("long"))
     after = [r["text"] for r in corpus_pipeline.quality_classifier(spark, docs.unionByName(pair), data).collect() if r["doc_id"] is None or r["doc_id"] >= 10_000_000]
     assert after == [ids[good]]
+
+
+def odd_documents(spark, data):
+    """Nulls everywhere, empty and long texts, repeated rows and ids, and columns named like the stages' own."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, target string, draws int, source_size string, size string, row string, sha string, number int, _copy_id string, id string, at int"
+    good = spark.read.parquet(f"{data}/documents.parquet").limit(40).collect()
+    more = ("mine", 7, "mine", "mine", "mine", "mine", 7, "mine", "mine", 7)
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in good]
+    rows += [(None, rows[0][1], None, None, None), (None, None, None, None, None), (None, None, None, None, None), (rows[1][0], rows[1][1], "en", "x", 1), (rows[1][0], rows[2][1], "en", "x", 1)]
+    rows += [(-5, "", "en", "", 0), (-6, "word " * 120_000, "en", "x", 1), (-7, " \n\t", None, "x", 3)]
+    return spark.createDataFrame([(*r, *more) for r in rows], schema).repartition(3)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows(spark, data, name):
+    docs, stage = odd_documents(spark, data), dict(corpus_pipeline.STAGES)[name]
+    before = [tuple(r) for r in docs.collect()]
+    out = stage(spark, docs, data)
+    after = [tuple(r) for r in out.collect()]
+    if name == "best-fit packing":
+        assert sum(r[1] == 0 for r in after) == len(before)
+    else:
+        assert out.columns == docs.columns and set(after) <= set(before) and after
+    if name == "exact dedup":
+        assert len(after) == len({re.sub(r"[\x20\x09-\x0D]+", "", r[1] or "") for r in before}) and len(set(after)) == len(after)
+    if name == "mixing sources to target weights":
+        assert max(after.count(r) / before.count(r) for r in set(after)) <= 3
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_empty_tables(spark, data, name):
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(0)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, data)
+    assert out.count() == 0 and (name == "best-fit packing" or out.columns == docs.columns)
+
+
+def test_run_is_its_stages_in_turn(spark, data, stages):
+    last = stages["best-fit packing"]
+    rows = corpus_pipeline.queries()["pipeline"](spark, data)
+    assert rows.columns == last[2]
+    assert sorted(tuple(r)[:5] for r in rows.collect()) == sorted(tuple(r)[:5] for r in last[1])
