@@ -46,6 +46,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def spread(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+    """A small table whose files make fewer tasks than there are cores, dealt out to all of them; others as they are.
+
+    A Parquet row group is one task however many cores there are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > most_bytes or df._jdf.rdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees (spark.checkpoint.dir); one of our own only where the session names none."""
     sc = spark.sparkContext
