@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ship
+from ..session import ship, spread
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,7 +19,7 @@ def tokenizer_path() -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ def _distance(a: str, b: str) -> str:
     return f"sqrt(greatest(list_sum(list_transform(range(1, len({a}) + 1), lambda i: {term})) / 2, 0))"
 
 
-def rules_sql(least_chars: int = 200, least_words: int = 50, most_class_distance: float = 0.30, most_word_distance: float = 0.36) -> str:
+def rules_sql(least_chars: int = 200, least_words: int = 50, most_class_distance: float = 0.30, most_word_distance: float = 0.36, least_docs: int = 20, least_share: float = 0.001) -> str:
     blanks = " || ".join(["' '", *[f"chr({c})" for c in range(9, 14)]])
     vocabulary = "[" + ", ".join(f"'{w}'" for w in VOCABULARY) + "]"
 
@@ -45,9 +45,12 @@ measured AS (
          [upper_, digit_, mark_, rest_ - upper_ - digit_ - mark_, beyond_, greatest(0, word_chars - rest_ - beyond_)] AS classes,
          CASE WHEN len(found) > 0 THEN list_append(found, greatest(0, n_words - CAST(list_sum(found) AS BIGINT))) ELSE [] END AS common
   FROM counted),
+good AS (
+  SELECT lang, classes, common, count(*) OVER (PARTITION BY lang) >= greatest({least_docs}, {least_share} * count(*) OVER ()) AS own
+  FROM measured WHERE NOT base_failed AND len(common) > 0),
 refs AS (
-  SELECT lang, {sums("classes", len(CLASSES))} AS ref_classes, {sums("common", len(VOCABULARY) + 1)} AS ref_common
-  FROM measured WHERE NOT base_failed AND len(common) > 0 GROUP BY lang),
+  SELECT {sums("classes", len(CLASSES))} AS ref_classes, {sums("common", len(VOCABULARY) + 1)} AS ref_common
+  FROM good GROUP BY own, CASE WHEN own THEN lang END),
 near AS (
   SELECT m.doc_id, min(CASE WHEN list_sum(classes) >= {least_chars} THEN {_distance("classes", "ref_classes")} END) AS class_distance,
          min(CASE WHEN len(common) > 0 THEN {_distance("common", "ref_common")} END) AS word_distance

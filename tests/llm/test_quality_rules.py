@@ -81,3 +81,21 @@ def test_empty_table_and_null_columns(spark):
     assert qr.quality_rules(none).count() == 0
     odd = spark.createDataFrame([(None, None, None), (1, "w " * 60, None), (1, "w " * 60, None)], "doc_id long, text string, lang string")
     assert qr.quality_rules(odd).count() == 3
+
+
+def test_every_language_counts_and_rare_ones_share_a_reference(spark):
+    """More languages than any list would hold: each is judged by its own reference, those of a document or two by a common one."""
+    rng = __import__("random").Random(4)
+    rows = []
+    for k in range(90):
+        own = [qr.VOCABULARY[(k * 7 + j) % len(qr.VOCABULARY)] for j in range(3)]
+        rows += [(f"l{k:03d}", " ".join(rng.choice([*own, f"x{rng.random()}"]) for _ in range(80))) for _ in range(25)]
+    rows += [(f"rare{k}", " ".join(f"%{rng.random()}" for _ in range(80))) for k in range(3)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(8)
+    measured = qr.histograms(qr.base_counts(df)).withColumn("base_failed", F.lit(False))
+    refs = qr.fit_references(measured).collect()
+    assert sorted(r["n_docs"] for r in refs) == [3] + [25] * 90
+    hist = {r["doc_id"]: (r["lang"], r["common"]) for r in measured.collect()}
+    got = {r["doc_id"]: r["word_distance"] for r in qr.quality_rules(df).select("doc_id", "word_distance").collect()}
+    for i in range(0, len(rows), 211):
+        assert abs(got[i] - min(jsd(hist[i][1], r["common"]) for r in refs)) < 1e-9
