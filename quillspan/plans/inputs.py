@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mentions, passages, ranking
 from ..schemas import ENTITY_POLICY
-from ..session import materialise
+from ..session import materialise, spread
 
 # The names that are looked for.
 LEXICON = [
@@ -31,7 +31,7 @@ SHORT, LONG = "und", "Of The"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
