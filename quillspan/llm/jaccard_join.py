@@ -27,7 +27,7 @@ from .components import components
 from .exchange import LAST, ask, bucket_count
 from .runtime import cut
 
-#: Similarity 0.85 as parts of 100: whole numbers decide.
+#: Minhashes of each set.
 ROUNDS = 4
 _PERM = np.random.default_rng(9).integers(1, 2**63, ROUNDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -144,22 +144,23 @@ def _stars(family: DataFrame, percent: int) -> DataFrame:
     that are not linked yet, by all others at once.
 
     A key's pivot is the one with most links, then the one with the fewest shingles of its own (the likely
-    original of a family of copies), then the smallest id.
+    original of a family of copies), then the smallest id.  Pivots are found among ids and numbers; a set meets its
+    pivots once, whatever the number of keys that bring it there.
     """
     links = None
     for keys in ([0], list(range(1, ROUNDS))):
-        active = family.select("node", "n", "alone", "text", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.get("keys", F.lit(k)).alias("key")) for k in keys])).alias("by"))
+        active = family.select("node", "n", "alone", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.get("keys", F.lit(k)).alias("key")) for k in keys])).alias("by"))
         if links is None:
             active = active.withColumn("held", F.lit(0).cast("long"))
         else:
             held = links.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("held"))
             active = active.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_anti").join(held, "node", "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long")))
         turn = F.struct((-F.col("held")).alias("h"), "alone", "node")
-        pivots = active.groupBy("by").agg(F.min_by(F.struct("node", "n", "text"), turn).alias("p"), F.count("*").alias("m")).where("m > 1")
+        pivots = active.groupBy("by").agg(F.min_by(F.struct("node", "n"), turn).alias("p"), F.count("*").alias("m")).where("m > 1")
         pivots = cut(pivots)  # a plain table: the join can split a frequent key's rows
         pairs = active.join(pivots, "by").where((F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
-        pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("text").alias("sa"), F.col("p.text").alias("sb"))
-        found = cut(pairs.mapInArrow(_similar(percent), "a long, b long").distinct())
+        pairs = cut(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct())
+        found = cut(_verified(pairs, family, percent).distinct())
         links = found if links is None else links.unionByName(found)
     return links
 
@@ -175,7 +176,8 @@ def _matrix_pairs(nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent:
         return (100 + percent) * rest >= percent * (n + F.greatest(least, F.ceil(percent * n / F.lit(100))))
 
     rows = sets.mapInArrow(_prefixes(percent, False), "node long, token long, at int").join(grouped, "node").withColumn("rest", F.col("n") - F.col("at"))
-    by_token = rows.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.min("n").alias("least")).where("g0 <> g1")
+    rows = cut(rows)
+    by_token = cut(rows.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.min("n").alias("least")).where("g0 <> g1"))
     rows = cut(rows.join(by_token.select("token", "least"), "token").where(reach(F.col("n"), F.col("rest"), F.col("least"))).drop("least", "at"))
     matrix = rows.groupBy("token", "grp").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("rest").alias("rest1"), F.first("m").alias("m1")).withColumnRenamed("grp", "grp1")
     meets = rows.join(matrix, "token").where(
@@ -211,8 +213,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     buckets = buckets or bucket_count(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    told = cut(ask(rows, _make_texts(shingle), "shared", buckets, every=True, unique=False).select("doc_id", "th", "n", "n_set", F.col("carry").alias("name")))
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    rows = given.withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
+    told = ask(given, _make_texts(shingle), "shared", buckets, every=True, unique=False).select(F.col("doc_id").alias("given"), "th", "n", "n_set", F.col("carry").alias("name"))
+    told = cut(told.withColumn("doc_id", F.coalesce("given", F.lit(LAST))))
     alive = told.where((F.col("n") > 0) & (100 * F.col("n_set") >= percent * F.col("n")))
     reps = cut(alive.groupBy("name").agg(F.min(F.struct("doc_id", "th")).alias("rep")).select("name", "rep.doc_id", "rep.th"))
     sets = rows.join(reps.select("doc_id", "th").distinct(), ["doc_id", "th"]).mapInArrow(_to_sets(shingle), "doc_id long, th long, text binary")
@@ -228,9 +232,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # links, and each set's copies: all by document id
     final = labels if more.isEmpty() else components(links.unionByName(more))
     named = reps.join(final, reps["doc_id"] == final["node"], "left").select("name", F.coalesce("label", "doc_id").alias("label"))
-    out = told.join(named, "name", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
-
-    def known(c: str) -> Column:
-        return F.when(F.col(c) != LAST, F.col(c)).alias(c)
-
-    return out.select(known("doc_id"), "n_shingles", known("component_id"))
+    label = F.coalesce("label", "doc_id")
+    label = F.when(label == LAST, F.col("given")).otherwise(label)  # a null id stands in the place of the largest
+    return told.join(named, "name", "left").select(F.col("given").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), label.alias("component_id"))

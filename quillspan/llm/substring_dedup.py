@@ -125,7 +125,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def same(other: DataFrame):
         return rows["doc_id"].eqNullSafe(other["_id"]) & rows["th"].eqNullSafe(other["_th"])
 
-    around = rows.join(shared, same(shared)).select("doc_id", "th", "text", "bits")
+    # a join's rows may come in another order when a task runs again; in this one they are the same
+    around = rows.join(shared, same(shared)).select("doc_id", "th", "text", "bits").sortWithinPartitions("doc_id", "th")
     taken = ask(around, _make_windows(window), "smaller", buckets).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "bits", "carry")
     final = rows.join(taken, same(taken), "left").select("doc_id", "text", "bits", "carry")
     return final.mapInArrow(_drop_words(window), "doc_id long, n_words long, n_removed long, kept_text string")
