@@ -2,6 +2,16 @@
 
 from .license_texts import FULL
 
+#: Copyright notices that are part of a licence's own text, over whatever line ends, become words like others.
+OWN_NOTICE = r"copyright[\x20\x09-\x0D]*(?:\(c\)|©)?([\x20\x09-\x0D0-9,-]*)(free[\x20\x09-\x0D]+software|year[\x20\x09-\x0D]+your)"
+#: A line that is a notice: a mark, or a year, after the word, and no blank to fill in.
+NOTICE_LINE = (
+    r"^[^\na-z0-9(]*(?:copyright[^\na-z0-9<\[(]*(?:(?:\(c\)|©)[^\n<\[]*|[0-9]{4}[^\n<\[]*)"
+    r"|\(c\)[^\na-z0-9<\[]*[0-9]{4}[^\n<\[]*|©[^\n<\[]*)$"
+)
+#: What a line that stands for a licence speaks of.
+LINE_WORD = "licen"
+
 #: found, common form; applied in this order, whole words.
 SPELLINGS = [
     ("licence", "license"),

@@ -107,14 +107,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sql() -> str:
     """The same canonical form in SQL."""
-    from .known_licenses import SPELLINGS, TEXTS
+    from .known_licenses import LINE_WORD, NOTICE_LINE, OWN_NOTICE, SPELLINGS, TEXTS
 
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
     def canonical(text: str) -> str:
         x = f"lower(coalesce({text}, ''))"
-        x = f"regexp_replace({x}, '(^|\\n)[^\\na-z0-9(]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
+        x = rf"regexp_replace({x}, '{OWN_NOTICE}', 'xcopyright\1\2', 'g')"
+        x = f"regexp_replace({x}, '(?m){NOTICE_LINE}', '', 'g')"
         x = f"' ' || trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g')) || ' '"
         for found, common in SPELLINGS:
             x = f"replace({x}, {quoted(f' {found} ')}, {quoted(f' {common} ')})"
@@ -122,8 +123,12 @@ def op8_sql() -> str:
 
     rows = ", ".join(f"({i}, {quoted(k)}, {quoted(v)})" for i, (k, v) in enumerate(TEXTS.items()))
     return (
-        f"WITH known AS (SELECT {canonical('t')} AS s, arg_min(k, i) AS license_id FROM (VALUES {rows}) v(i, k, t) GROUP BY 1) "
-        f"SELECT d.doc_id, d.s AS text_sha256, known.license_id FROM (SELECT doc_id, {canonical('text')} AS s FROM documents) d LEFT JOIN known ON d.s = known.s"
+        f"WITH known AS (SELECT {canonical('t')} AS s, arg_min(k, i) AS license_id FROM (VALUES {rows}) v(i, k, t) GROUP BY 1), "
+        f"lines AS (SELECT doc_id, row, {canonical('line')} AS s FROM (SELECT doc_id, row, unnest(string_split(text, chr(10))) AS line "
+        f"FROM (SELECT *, row_number() OVER () AS row FROM documents) WHERE contains(lower(text), '{LINE_WORD}')) WHERE contains(lower(line), '{LINE_WORD}')), "
+        "named AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses FROM lines JOIN known USING (s) GROUP BY doc_id) "
+        "SELECT d.doc_id, d.s AS text_sha256, known.license_id, coalesce(line_licenses, '') AS line_licenses "
+        f"FROM (SELECT doc_id, {canonical('text')} AS s FROM documents) d LEFT JOIN known ON d.s = known.s LEFT JOIN named ON d.doc_id = named.doc_id"
     )
 
 
