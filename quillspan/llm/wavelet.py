@@ -1,16 +1,18 @@
 """Token ids on disk: one wavelet matrix per shard file, with access, rank, select and counting.
 
-File format, little-endian: the magic ``QWM1``; six int64 (ids, documents, bit planes, shard, first id's place
-in the shard, length of the table that follows); a zstd block with document ids, null flags and lengths; then
-for each plane its length in bytes and a zstd block of its packed bits.  Plane 0 holds the highest bit; the
-next plane holds the same ids after a stable partition by that bit, zeros first.
+File format, little-endian: the magic ``QWM2``; seven int64 (ids, documents, bit planes, shard, first id's place
+in the shard, length of the table that follows, bits in a block); a zstd block with document ids, null flags and lengths; the
+directory: for each plane the ones before each block and in all, then where each block and the last one end; then the
+blocks, a zstd block of packed bits each.  Plane 0 holds the highest bit; the next plane holds the same ids after a
+stable partition by that bit, zeros first.  Whoever looks up a place or a symbol reads the directory and one block, or
+two, of each plane.
 """
 
 from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,74 +24,87 @@ from pyspark.sql import functions as F
 from . import words
 from .runtime import input_bytes, shared_dir
 
-MAGIC = b"QWM1"
-_BLOCK = 512
+MAGIC = b"QWM2"
+_HEAD = 4 + 7 * 8
+BLOCK = 1 << 16  # bits
+_KEEP = 4  # blocks of a plane that stay in memory
+
+
+class Plane:
+    """n bits with a rank directory: ``ones`` before each block, and in all; load() gives a block's packed bits."""
+
+    def __init__(self, n: int, ones: np.ndarray, load: Callable[[int], np.ndarray], block: int = BLOCK):
+        self.n, self.ones, self.block, self._load = n, ones, block, load
+        self.zeros = n - int(ones[-1])
+        self._held: dict[int, np.ndarray] = {}
+
+    @classmethod
+    def of(cls, bits: np.ndarray, block: int = BLOCK) -> Plane:
+        packed = np.packbits(bits, bitorder="little")
+        sums = np.add.reduceat(bits, np.arange(0, len(bits), block), dtype=np.int64) if len(bits) else np.zeros(0, np.int64)
+        return cls(len(bits), np.concatenate([[0], np.cumsum(sums)]), lambda k: packed[k * block // 8 : (k + 1) * block // 8], block)
+
+    def part(self, k: int) -> np.ndarray:
+        if k not in self._held:
+            while len(self._held) >= _KEEP:
+                self._held.pop(next(iter(self._held)))
+            self._held[k] = self._load(k)
+        return self._held[k]
+
+    def rank1(self, i: int) -> int:
+        """Ones before i."""
+        k, rest = divmod(i, self.block)
+        if not rest:
+            return int(self.ones[k])
+        return int(self.ones[k]) + int(np.unpackbits(self.part(k)[: (rest + 7) // 8], count=rest, bitorder="little").sum())
+
+    def select(self, bit: int, k: int) -> int:
+        """The position of the k-th (from 0) such bit."""
+        ranks = self.ones if bit else np.minimum(np.arange(len(self.ones)) * self.block, self.n) - self.ones
+        a = int(np.searchsorted(ranks, k, "right")) - 1
+        bits = np.unpackbits(self.part(a), count=min(self.block, self.n - a * self.block), bitorder="little")
+        return a * self.block + int(np.flatnonzero(bits == bit)[k - int(ranks[a])])
+
+    def all(self) -> np.ndarray:
+        if not self.n:
+            return np.zeros(0, bool)
+        return np.unpackbits(np.concatenate([self._load(k) for k in range(len(self.ones) - 1)]), count=self.n, bitorder="little").view(bool)
 
 
 class WaveletMatrix:
     """A sequence of ids below 2**width as bit planes; positions count from 0, ranges are half open."""
 
-    def __init__(self, planes: list[np.ndarray], n: int):
+    def __init__(self, planes: list[Plane], n: int):
         self.planes, self.n, self.width = planes, n, len(planes)
-        self._ones: list[np.ndarray] = []
-        self._zeros: list[int] = []
 
     @classmethod
-    def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
+    def build(cls, ids: np.ndarray, width: int, block: int = BLOCK) -> WaveletMatrix:
         x = np.asarray(ids).astype(np.uint16 if width <= 16 else np.uint32)
         planes = []
         for bit in range(width - 1, -1, -1):
             one = ((x >> x.dtype.type(bit)) & x.dtype.type(1)).astype(bool)
-            planes.append(np.packbits(one, bitorder="little"))
+            planes.append(Plane.of(one, block))
             x = np.concatenate([x[~one], x[one]])
         return cls(planes, len(ids))
 
-    def _bits(self, plane: int) -> np.ndarray:
-        return np.unpackbits(self.planes[plane], count=self.n, bitorder="little").view(bool)
-
-    def _directory(self) -> None:
-        """Ones before each block of every plane; what rank and select stand on."""
-        if self._zeros or not self.n:
-            return
-        for plane in range(self.width):
-            bits = self._bits(plane)
-            sums = np.add.reduceat(bits, np.arange(0, self.n, _BLOCK), dtype=np.int64)
-            self._ones.append(np.concatenate([[0], np.cumsum(sums)]))
-            self._zeros.append(self.n - int(self._ones[-1][-1]))
-
-    def _rank1(self, plane: int, i: int) -> int:
-        a = i // _BLOCK
-        part = self.planes[plane][a * _BLOCK // 8 : (i + 7) // 8]
-        return int(self._ones[plane][a]) + int(np.unpackbits(part, count=i - a * _BLOCK, bitorder="little").sum())
-
-    def _select(self, plane: int, bit: int, k: int) -> int:
-        """The position of the k-th (from 0) such bit."""
-        ones = self._ones[plane]
-        ranks = ones if bit else np.minimum(np.arange(len(ones)) * _BLOCK, self.n) - ones
-        a = int(np.searchsorted(ranks, k, "right")) - 1
-        part = np.unpackbits(self.planes[plane][a * _BLOCK // 8 : (a + 1) * _BLOCK // 8], bitorder="little")
-        return a * _BLOCK + int(np.flatnonzero(part == bit)[k - int(ranks[a])])
-
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
-        self._directory()
         out = 0
-        for plane in range(self.width):
-            ones = self._rank1(plane, i)
-            bit = self._rank1(plane, i + 1) - ones
+        for plane in self.planes:
+            ones = plane.rank1(i)
+            bit = plane.rank1(i + 1) - ones
             out = out << 1 | bit
-            i = self._zeros[plane] + ones if bit else i - ones
+            i = plane.zeros + ones if bit else i - ones
         return out
 
     def _range(self, symbol: int, a: int, b: int) -> tuple[int, int]:
-        self._directory()
-        for plane in range(self.width):
+        for k, plane in enumerate(self.planes):
             if a >= b:
                 return 0, 0
-            x, y = self._rank1(plane, a), self._rank1(plane, b)
-            if symbol >> (self.width - 1 - plane) & 1:
-                a, b = self._zeros[plane] + x, self._zeros[plane] + y
+            x, y = plane.rank1(a), plane.rank1(b)
+            if symbol >> (self.width - 1 - k) & 1:
+                a, b = plane.zeros + x, plane.zeros + y
             else:
                 a, b = a - x, b - y
         return a, b
@@ -111,11 +126,9 @@ class WaveletMatrix:
         if k < 0 or k >= self.count(symbol):
             raise IndexError(k)
         i = self._range(symbol, 0, self.n)[0] + k
-        for plane in range(self.width - 1, -1, -1):
-            if symbol >> (self.width - 1 - plane) & 1:
-                i = self._select(plane, 1, i - self._zeros[plane])
-            else:
-                i = self._select(plane, 0, i)
+        for k in range(self.width - 1, -1, -1):
+            plane, bit = self.planes[k], symbol >> (self.width - 1 - k) & 1
+            i = plane.select(bit, i - plane.zeros if bit else i)
         return i
 
     def occurrences(self, symbol: int) -> Iterator[int]:
@@ -126,8 +139,7 @@ class WaveletMatrix:
         """All ids in order: the partitions undone from the last plane up."""
         x = np.zeros(self.n, np.uint16 if self.width <= 16 else np.uint32)
         for plane in range(self.width - 1, -1, -1):
-            one = self._bits(plane)
-            zeros = self.n - int(np.count_nonzero(one))
+            one, zeros = self.planes[plane].all(), self.planes[plane].zeros
             out = np.empty_like(x)
             out[~one] = x[:zeros]
             out[one] = x[zeros:] | x.dtype.type(1 << (self.width - 1 - plane))
@@ -135,36 +147,53 @@ class WaveletMatrix:
         return x
 
 
-def dump(ids: np.ndarray, doc_ids: np.ndarray, null: np.ndarray, lengths: np.ndarray, width: int, shard: int = 0, first: int = 0) -> bytes:
+def dump(ids: np.ndarray, doc_ids: np.ndarray, null: np.ndarray, lengths: np.ndarray, width: int, shard: int = 0, first: int = 0, block: int = BLOCK) -> bytes:
     """A shard file's bytes."""
     press = zstandard.ZstdCompressor(level=3).compress
     table = press(doc_ids.astype("<i8").tobytes() + null.astype(np.uint8).tobytes() + lengths.astype("<i8").tobytes())
-    out = [MAGIC, np.array([len(ids), len(doc_ids), width, shard, first, len(table)], "<i8").tobytes(), table]
-    for plane in WaveletMatrix.build(ids, width).planes:
-        block = press(plane.tobytes())
-        out += [np.array([len(block)], "<i8").tobytes(), block]
-    return b"".join(out)
+    ones, blocks = [], []
+    for plane in WaveletMatrix.build(ids, width, block).planes:
+        ones.append(plane.ones)
+        blocks += [press(plane.part(k).tobytes()) for k in range(len(plane.ones) - 1)]
+    ends = np.cumsum([0, *map(len, blocks)])
+    head = np.array([len(ids), len(doc_ids), width, shard, first, len(table), block], "<i8")
+    return b"".join([MAGIC, head.tobytes(), table, np.concatenate(ones).astype("<i8").tobytes(), ends.astype("<i8").tobytes(), *blocks])
 
 
 class Shard:
-    """A shard file, opened from its bytes."""
+    """A shard file, from its bytes or from read(place, size): only the table and the directory are read at once."""
 
-    def __init__(self, raw: bytes):
-        if raw[:4] != MAGIC:
+    def __init__(self, raw: bytes | Callable[[int, int], bytes]):
+        read = raw if callable(raw) else lambda at, size: raw[at : at + size]
+        head = read(0, _HEAD)
+        if head[:4] != MAGIC:
             raise ValueError("not a token shard")
-        n, docs, width, self.shard, self.first, size = np.frombuffer(raw, "<i8", 6, 4).tolist()
-        at = 52
-        table = zstandard.decompress(raw[at : at + size])
+        n, docs, width, self.shard, self.first, size, block = np.frombuffer(head, "<i8", 7, 4).tolist()
+        table = zstandard.decompress(read(_HEAD, size))
         self.doc_ids = np.frombuffer(table, "<i8", docs)
         self.null = np.frombuffer(table, np.uint8, docs, 8 * docs).astype(bool)
         self.lengths = np.frombuffer(table, "<i8", docs, 9 * docs)
-        at += size
-        planes = []
-        for _ in range(width):
-            size = int(np.frombuffer(raw, "<i8", 1, at)[0])
-            planes.append(np.frombuffer(zstandard.decompress(raw[at + 8 : at + 8 + size]), np.uint8))
-            at += 8 + size
-        self.matrix = WaveletMatrix(planes, n)
+        each = -(-n // block)
+        at = _HEAD + size
+        directory = np.frombuffer(read(at, 8 * (width * (each + 1) + width * each + 1)), "<i8")
+        ones = directory[: width * (each + 1)].reshape(width, each + 1)
+        places = directory[width * (each + 1) :] + at + directory.nbytes
+
+        def loader(plane: int) -> Callable[[int], np.ndarray]:
+            def load(k: int) -> np.ndarray:
+                a, b = places[plane * each + k : plane * each + k + 2].tolist()
+                return np.frombuffer(zstandard.decompress(read(a, b - a)), np.uint8)
+
+            return load
+
+        self.matrix = WaveletMatrix([Plane(n, ones[k], loader(k), block) for k in range(width)], n)
+
+    @classmethod
+    def open(cls, uri: str) -> Shard:
+        """A file in any store that pyarrow reaches; it stays open while the shard is in use."""
+        store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+        file = store.open_input_file(path)
+        return cls(lambda at, size: file.read_at(size, at))
 
 
 def _put(folder: str, name: str, raw: bytes) -> None:
@@ -188,8 +217,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_c
     """
     spark = docs.sparkSession
     shards = max(1, min(most_shards, input_bytes(docs) // shard_bytes))
-    cuts = docs.agg(F.percentile_approx(F.col(id_col).cast("long"), [k / shards for k in range(1, shards)] or [0.5], 100 * shards + 1000).alias("at")).first()["at"]
-    bounds = np.array(sorted(set(cuts or [])) if shards > 1 else [], np.int64)
+    bounds = np.zeros(0, np.int64)
+    if shards > 1:  # ranges of ids alone, each with its largest: a row for each shard
+        ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
+        ranges = ids.repartitionByRange(int(shards), "id").groupBy(F.spark_partition_id()).agg(F.max("id"))
+        bounds = np.array(sorted(r[1] for r in ranges.collect())[:-1], np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = words.encoder(tokenizer)
@@ -203,7 +235,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_c
                 at = np.concatenate([[0], ends + np.arange(1, len(sizes) + 1)]) * wide.itemsize
                 blob = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(wide)])
                 key = rows.column("doc_id")
-                shard = np.searchsorted(bounds, key.fill_null(0).to_numpy(zero_copy_only=False), "right").astype(np.int32)
+                shard = np.searchsorted(bounds, key.fill_null(0).to_numpy(zero_copy_only=False), "left").astype(np.int32)
                 shard[key.is_null().to_numpy(zero_copy_only=False)] = len(bounds)
                 yield pa.RecordBatch.from_arrays([pa.array(shard), key, blob.cast(pa.binary())], ["shard", "doc_id", "ids"])
 
@@ -241,8 +273,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_c
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     coded = rows.mapInArrow(encode, "shard int, doc_id long, ids binary")
-    parts = max(1, min(len(bounds) + 1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    told = coded.repartition(parts, "shard").sortWithinPartitions("shard", F.asc_nulls_last("doc_id"), "ids").mapInArrow(store, "shard int, n long")
+    told = coded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_last("doc_id"), "ids").mapInArrow(store, "shard int, n long")
     sizes = [0] * (len(bounds) + 1)
     for row in told.collect():  # a row for each shard
         sizes[row["shard"]] = row["n"]

@@ -63,3 +63,27 @@ def test_repeated_ids_and_empty_table(spark):
     assert sorted(r["start"] for r in got) == [0, 2, 5] and sum(r["n_tokens"] for r in got) == 8
     none = spark.createDataFrame([], "doc_id long, text string")
     assert wavelet.token_table(none, tokenizer_path(), 2, folder=f"{shared_dir(spark)}/none").count() == 0
+
+
+def test_a_lookup_reads_few_blocks_of_the_file(tmp_path):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 12, 40_000)
+    raw = wavelet.dump(x, np.array([1]), np.array([False]), np.array([len(x)]), 12, block=2048)
+    read = []
+
+    def reader(at, size):
+        read.append(size)
+        return raw[at : at + size]
+
+    file = wavelet.Shard(reader)
+    opened = len(read)
+    assert opened == 3 and sum(read) < len(raw) / 5  # head, table, directory
+    assert [file.matrix.access(i) for i in (0, 2047, 2048, 39_999)] == [x[i] for i in (0, 2047, 2048, 39_999)]
+    assert len(read) - opened <= 4 * 2 * 12
+    del read[:]
+    symbol = int(x[777])
+    places = np.flatnonzero(x == symbol)
+    assert file.matrix.rank(symbol, 30_000) == (places < 30_000).sum() and file.matrix.select(symbol, len(places) - 1) == places[-1]
+    assert len(read) <= 5 * 2 * 12
+    (tmp_path / "one.qwm").write_bytes(raw)
+    assert (wavelet.Shard.open(str(tmp_path / "one.qwm")).matrix.decode() == x).all()
