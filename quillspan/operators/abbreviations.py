@@ -51,24 +51,26 @@ def align(words: list[str], short: str) -> int | None:
     return min(good, key=lambda i: (-good[i], i)) if good else None
 
 
-def _window(tokens: list[re.Match], starts: set[int], opening: int, inner: int) -> list[int]:
-    """The tokens before a parenthesis that may spell it out: back to a title word, a sentence start, a number
-    (these included) or a mark (left out), within reach; none if there is no such border."""
-    reach = max(0, opening + 1 - (inner + LOOK_BACK) - 1)
-    for i in range(opening - 1, reach - 1, -1):
-        word = tokens[i].group()
-        if word.istitle() or i in starts or word.isdigit():
-            first = i
-            break
-        if not word[0].isalnum():
-            first = i + 1
-            break
-    else:
-        return []
-    span = list(range(first, opening))
-    if len(span) > 1 and len(tokens[first].group()) == 1 and tokens[first].group().isupper() and first not in starts:
-        span = span[1:]
-    return span
+def _borders(words: list[str], starts: set[int]) -> list[tuple[int, int]]:
+    """For each number of words the nearest border among them and where a long form after it begins; (-1, -1) without one.
+
+    A title word, a number and a sentence's first word are borders and begin it; after a mark the next word does.
+    """
+    out = [(-1, -1)]
+    for i, word in enumerate(words):
+        begins = i in starts or word.isdigit() or word.istitle()
+        out.append((i, i) if begins else (i, i + 1) if not word[0].isalnum() else out[-1])
+    return out
+
+
+def _span(words: list[str], starts: set[int], borders: list[tuple[int, int]], opening: int, inner: int) -> range:
+    """The words before a parenthesis that may spell out what its ``inner`` words abbreviate: from the nearest border
+    within reach, without a single capital in front; empty without such a border."""
+    border, first = borders[opening]
+    if border < max(0, opening - inner - LOOK_BACK):
+        return range(0)
+    lone = opening - first > 1 and first not in starts and len(words[first]) == 1 and words[first].isupper()
+    return range(first + lone, opening)
 
 
 def definitions(text: str) -> dict[str, str]:
@@ -76,11 +78,12 @@ def definitions(text: str) -> dict[str, str]:
     tokens = list(_TOKEN.finditer(text))
     marks = [t.group() for t in tokens]
     starts = {i for i in range(len(tokens)) if i == 0 or marks[i - 1] in _STOP}
+    borders = _borders(marks, starts)
     found: dict[str, str] = {}
     for opening in (i for i, m in enumerate(marks) if m == "("):
         for closing in (i for i in range(opening + 2, min(len(marks), opening + 2 + 2 * LONGEST_SHORT)) if marks[i] == ")"):
             short = text[tokens[opening + 1].start() : tokens[closing - 1].end()]
-            span = _window(tokens, starts, opening, closing - opening - 1)
+            span = _span(marks, starts, borders, opening, closing - opening - 1)
             if short in found or not span or not is_short_form(short):
                 continue
             at = align([marks[i] for i in span], short)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import find_spans, let
 
 
+MOST_NAMES = 2000
+
+
 def unique_names(extracted: DataFrame) -> DataFrame:
     """One row for each name of a passage and type; names that differ in case are different."""
     return extracted.groupBy("doc_id", "passage_idx", "entity_type", "name").agg(F.min("entity_idx").alias("entity_idx"))
@@ -23,9 +26,12 @@ def locate(extracted: DataFrame, passages: DataFrame) -> DataFrame:
 def locate_all(passages: DataFrame, lexicon: DataFrame) -> DataFrame:
     """locate() for a lexicon of which every name is looked for in every passage, without a row for each try.
 
-    lexicon (entity_type, name) is a list for people to read: collected, it becomes one expression over the text.
+    lexicon (entity_type, name) is a list for people to read, of MOST_NAMES at most: collected, it becomes one
+    expression over the text.  A larger one is for an extractor to look up, whose names go to locate().
     """
-    entries = lexicon.collect()
+    entries = lexicon.limit(MOST_NAMES + 1).collect()
+    if len(entries) > MOST_NAMES:
+        raise ValueError(f"a lexicon of more than {MOST_NAMES} names: use an extractor and locate()")
 
     def one(i: int, kind: str, name: str, lowered: Column) -> Column:
         spans = find_spans(F.col("text"), F.lit(name), F.col("u_start"), lowered)

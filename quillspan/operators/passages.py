@@ -43,6 +43,26 @@ def split_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.select("doc_id", "passage_idx", F.col("p.at").alias("u_start"), F.col("p.text").alias("text"))
 
 
+def number_sentences(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """doc_id, unit_idx (over the document), passage_idx, u_start, u_end and text of each sentence of each line of a
+    text; numbered in the document's row, so no text is shuffled."""
+
+    def of_lines(lines: Column) -> Column:
+        return let(
+            running_starts(F.transform(lines, lambda x: F.char_length(x)), 1),
+            lambda starts: F.flatten(
+                F.transform(
+                    lines,
+                    lambda line, i: F.transform(sentences(line), lambda x: F.struct(i.alias("passage_idx"), (F.get(starts, i) + x["s"]).cast("int").alias("at"), x["text"].alias("text"))),
+                )
+            ),
+        )
+
+    every = F.filter(let(F.split(F.col(text_col), "\n"), of_lines), lambda x: F.char_length(x["text"]) > 0)
+    rows = docs.select("doc_id", F.posexplode(every).alias("unit_idx", "x"))
+    return rows.select("doc_id", "unit_idx", "x.passage_idx", F.col("x.at").alias("u_start"), (F.col("x.at") + F.char_length("x.text")).cast("int").alias("u_end"), "x.text")
+
+
 def split_sentences(passages: DataFrame) -> DataFrame:
     """doc_id, passage_idx, sent_idx (within the document's passage), u_start, u_end and text of each sentence."""
     rows = passages.select("doc_id", "passage_idx", "u_start", F.posexplode(sentences(F.col("text"))).alias("sent_idx", "x")).where(F.char_length("x.text") > 0)

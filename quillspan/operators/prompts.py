@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import ENTITY_TYPES, NO_RELATION
+from ..schemas import DEFINITIONS, ENTITY_TYPES, NO_RELATION, PREDICATES
 
 _ASK = "List every entity that the passage names, as JSON with a list for each of: " + ", ".join(ENTITY_TYPES) + '. Each entry is {"name": the words of the passage}. Leave out what the passage does not name.'
 EXTRACTION_SQL = "'" + _ASK.replace("'", "''") + "' || chr(10) || 'Passage: ' || "
@@ -21,11 +21,19 @@ def _also(names: Column) -> Column:
     return F.when(listed != "", F.concat(F.lit(" (also: "), listed, F.lit(")"))).otherwise("")
 
 
-def relation(subject: Column, subject_names: Column, obj: Column, object_names: Column, category: Column, context: Column) -> Column:
-    """Asks for the relation of a pair."""
+def allowed(category: Column) -> Column:
+    """A line for each predicate of a category, with its meaning, the one for none last; of other categories that alone."""
+    none = f"- {NO_RELATION}: the text states none"
+    blocks = [x for c, names in PREDICATES.items() for x in (F.lit(c), F.lit("\n".join([*(f"- {p}: {DEFINITIONS[p]}" for p in names), none])))]
+    return F.coalesce(F.try_element_at(F.create_map(*blocks), category), F.lit(none))
+
+
+def relation(subject: Column, subject_names: Column, obj: Column, object_names: Column, category: Column, context: Column, guided: bool = False) -> Column:
+    """Asks for the relation of a pair; guided: by one of the predicates that its category allows, else in free words."""
+    how = F.concat(F.lit("the predicate is one of these:\n"), allowed(category), F.lit("\n")) if guided else F.lit(f"the predicate is a short verb phrase, or {NO_RELATION} if the text states none.\n")
     return F.concat(
         F.lit("How does the compound "), subject, _also(subject_names), F.lit(" relate to "), obj, _also(object_names), F.lit(", one of the "), category,
-        F.lit(f'? Answer with JSON {{"predicate", "justification"}}; the predicate is a short verb phrase, or {NO_RELATION} if the text states none.\nText: '), context,
+        F.lit('? Answer with JSON {"predicate", "justification"}; '), how, F.lit("Text: "), context,
     )
 
 

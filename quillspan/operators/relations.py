@@ -54,9 +54,12 @@ def export(relations: DataFrame) -> DataFrame:
     )
 
 
-def by_subject(flat: DataFrame) -> DataFrame:
-    """subject_name and its relations, each as "predicate object", sorted."""
+def by_subject(flat: DataFrame, subject: str | None = None) -> DataFrame:
+    """subject_name and its relations, each as "predicate object", sorted; of the subjects that hold ``subject``,
+    without regard to case, if it is given."""
     line = F.concat_ws(" ", "predicate", "object_name")
+    if subject is not None:
+        flat = flat.where(F.contains(F.lower("subject_name"), F.lit(subject.lower())))
     return flat.groupBy("subject_name").agg(F.array_sort(F.collect_list(line)).alias("relations"))
 
 
@@ -67,9 +70,8 @@ def triples(flat: DataFrame) -> DataFrame:
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of two sets with where they are: both, first or second."""
-    return (
-        a.intersect(b).withColumn("side", F.lit("both"))
-        .unionByName(a.subtract(b).withColumn("side", F.lit("first")))
-        .unionByName(b.subtract(a).withColumn("side", F.lit("second")))
-    )
+    """Rows of two sets with where they are: both, first or second.  One aggregate over both; nulls are equal."""
+    every = a.withColumn("_side", F.lit(1)).unionByName(b.withColumn("_side", F.lit(2)))
+    sides = every.groupBy(*a.columns).agg(F.bit_or("_side").alias("_side"))
+    side = F.when(F.col("_side") == 3, "both").when(F.col("_side") == 1, "first").otherwise("second")
+    return sides.select(*a.columns, side.alias("side"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mentions, passages, ranking
@@ -59,9 +59,7 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences as units, numbered over the document."""
-    s = passages.split_sentences(article_passages(spark, sf_dir))
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("passage_idx", "sent_idx")) - 1
-    return s.select("doc_id", number.cast("int").alias("unit_idx"), "u_start", "u_end", "text")
+    return passages.number_sentences(table(spark, sf_dir, "documents")).drop("passage_idx")
 
 
 def linked_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.vectors import embedder
 from ..operators import annotations, evaluation, linking, loading, mentions, passages, relations
-from ..schemas import DEFINITIONS, NO_DEFINITION, NO_RELATION, PREDICATES, predicate_guidelines
+from ..schemas import DEFINITIONS, NO_DEFINITION, NO_RELATION, NOT_GUIDED, PREDICATES, predicate_guidelines
 from ..session import ship
 from .inputs import quoted, table, with_sql
 
@@ -313,7 +313,7 @@ def triple_set_diff(spark: SparkSession, d: str) -> DataFrame:
     return relations.compare(relations.triples(flat.where("category = 'species'")), relations.triples(flat.where("category <> 'species'")))
 
 
-_GUIDELINES = ", ".join(f"({quoted(c)}, {quoted(p)}, {quoted(DEFINITIONS[p])})" for c, ps in PREDICATES.items() for p in ps)
+_GUIDELINES = ", ".join(f"({quoted(c)}, {quoted(p)}, {quoted(DEFINITIONS[p])})" for c, ps in PREDICATES.items() if c not in NOT_GUIDED for p in ps)
 
 
 @query(

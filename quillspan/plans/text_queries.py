@@ -250,12 +250,26 @@ def prompt_text(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.md5(prompts.extraction(F.col("text")).cast("binary")).alias("prompt_md5"))
 
 
-@query()
+_INITIALS_SQL = "array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1])), '')"
+
+
+@query(
+    f"""SELECT p_partkey AS doc_id, {_INITIALS_SQL} AS short, CASE WHEN p_size % 2 = 0 THEN upper(p_name[1]) || p_name[2:] ELSE p_name END AS long
+        FROM part WHERE p_size % 5 <> 0 AND length({_INITIALS_SQL}) > 1"""
+)
 def abbreviation_detect(spark: SparkSession, d: str) -> DataFrame:
+    """Names of parts with their initials, defined at a title word or within a sentence; every fifth size defines nothing."""
     from ..operators.abbreviations import detect
 
     ship(spark)
-    return detect(I.article_passages(spark, d))
+    name = F.col("p_name")
+    initials = F.array_join(F.transform(F.split(name, " "), lambda x: F.upper(F.substring(x, 1, 1))), "")
+    titled = F.concat(F.lit("We list: "), F.upper(F.substring(name, 1, 1)), F.expr("substring(p_name, 2)"))
+    said = F.when(F.col("p_size") % 2 == 0, titled).otherwise(F.concat(F.lit("zany young "), name))
+    short = F.when(F.col("p_size") % 5 == 0, "no definition").otherwise(initials)
+    texts = F.array(F.concat(said, F.lit(" ("), short, F.lit(") is there.")), F.lit("(Nothing more.)"))
+    parts = I.table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.posexplode(texts).alias("passage_idx", "text"))
+    return detect(parts).where(F.char_length("short") > 1)
 
 
 @query(with_sql("SELECT DISTINCT entity_type || ': ' || lower(name) AS value FROM spans", *I.TO_SPANS))

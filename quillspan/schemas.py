@@ -60,6 +60,7 @@ ANNOTATION_TYPES = {"Chemical": "compounds", "Gene": "genes", "Species": "specie
 
 # Predicates of each category.  The definitions are our own words.
 PREDICATES = {
+    "compounds": ["associated_with", "present_in", "correlates_with", "positively_regulated_by", "negatively_regulated_by"],
     "pathways": ["made_via", "degraded_via", "involved_in", "associated_with", "correlates_with", "positively_correlates_with", "negatively_correlates_with"],
     "genes": [
         "made_by", "degraded_by", "correlates_with", "positively_correlates_with", "negatively_correlates_with", "positively_regulated_by",
@@ -73,6 +74,7 @@ PREDICATES = {
     ],
     "molecular_traits": ["affects", "modulates", "involved_in", "associated_with", "correlates_with", "positively_correlates_with", "negatively_correlates_with"],
     "plant_traits": ["affects", "modulates", "involved_in", "associated_with", "correlates_with", "positively_correlates_with", "negatively_correlates_with"],
+    "human_traits": ["affects", "modulates"],
 }
 DEFINITIONS = {
     "made_via": "The compound comes out of this pathway.",
@@ -97,6 +99,8 @@ DEFINITIONS = {
     "affects": "The compound has an influence on the trait.",
     "modulates": "The compound tunes the trait up or down.",
 }
+# Categories that have predicates but no guideline.
+NOT_GUIDED = ["human_traits"]
 NO_DEFINITION = "No definition available."
 
 
@@ -107,5 +111,5 @@ def entity_policy(spark: SparkSession) -> DataFrame:
 
 def predicate_guidelines(spark: SparkSession) -> DataFrame:
     """category, predicate, definition: a table of fixed size."""
-    rows = [(c, p, DEFINITIONS[p]) for c, names in PREDICATES.items() for p in names]
+    rows = [(c, p, DEFINITIONS[p]) for c, names in PREDICATES.items() if c not in NOT_GUIDED for p in names]
     return spark.createDataFrame(rows, "category string, predicate string, definition string")

@@ -17,9 +17,16 @@ TAXONOMY = {"nodes": "nodes.dmp", "names": "names.dmp", "merged": "merged.dmp"}
 
 
 def _tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows with the place they have in their file.  Gzip files are one task each: what follows is dealt out anew."""
+    """Rows with row_idx: by file name, and by place within a file.  A gzip file is one task, others are read in blocks."""
     rows = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("mode", "DROPMALFORMED").csv(path)
-    return rows.withColumn("row_idx", F.monotonically_increasing_id())
+    files = {name: i for i, name in enumerate(sorted(rows.inputFiles()))}  # some files: dumps are single or few
+    number = F.lit(0).cast("long")
+    if len(files) > 1:
+        number = F.try_element_at(F.create_map(*[F.lit(x) for k, v in files.items() for x in (k, v)]), F.input_file_name()).cast("long")
+    # a record's number in its task, below the block of the file that the task reads
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    start = F.shiftright(F.col("_metadata.file_block_start"), 20)
+    return rows.withColumn("row_idx", F.shiftleft(F.coalesce(number, F.lit(0).cast("long")), 54) + F.shiftleft(start, 33) + place)
 
 
 def read_smiles(spark: SparkSession, path: str) -> DataFrame:

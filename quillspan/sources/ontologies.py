@@ -25,9 +25,11 @@ def read_obo(spark: SparkSession, path: str) -> DataFrame:
     """Terms: id, name, namespace, synonyms (lines), subsets, is_obsolete, is_a, relationships.
 
     A stanza is a row of the text, so files are split and read in parallel.  Terms without a namespace have their
-    file's default one.  Nothing is filtered: see annotatable().
+    file's default one.  Line ends may be those of any system.  Nothing is filtered: see annotatable().
     """
-    stanzas = spark.read.option("lineSep", "\n\n").text(path).withColumn("_file", F.col("_metadata.file_path"))
+    # a stanza starts at a line with its kind in brackets, whatever ends the line before
+    chunks = spark.read.option("lineSep", "\n[").text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    stanzas = chunks.withColumn("value", F.when(F.col("value").rlike(r"^[A-Za-z]+\]"), F.concat(F.lit("["), F.col("value"))).otherwise(F.col("value")))
     header = stanzas.where(~F.contains(F.ltrim("value"), F.lit("[Term]")) & F.contains("value", F.lit("default-namespace:")))
     default = header.groupBy("_file").agg(F.first(_first("default-namespace")).alias("_default"))
     terms = stanzas.where(F.col("value").rlike(r"(?m)^\[Term\]\s*$")).select(
