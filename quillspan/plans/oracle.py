@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import table_queries, text_queries
+from . import file_queries, table_queries, text_queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**text_queries.SQL, **table_queries.SQL}
+    return {**text_queries.SQL, **table_queries.SQL, **file_queries.SQL}

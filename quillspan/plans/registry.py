@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import table_queries, text_queries
+from . import file_queries, table_queries, text_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**text_queries.QUERIES, **table_queries.QUERIES}
+    return {**text_queries.QUERIES, **table_queries.QUERIES, **file_queries.QUERIES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,17 @@ _RELATIONS = T.StructType([T.StructField("relations", T.ArrayType(RELATION))])
 CORRUPT = "_corrupt_record"
 
 
+def _file_name() -> Column:
+    """A file's name; of one that write_json() made, the document in its folder's name."""
+    decode = lambda x: F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))
+    key = F.regexp_extract("_metadata.file_path", r"/doc_id=([^/]+)/[^/]*$", 1)
+    return F.when(key != "", F.concat(decode(decode(key)), F.lit(".json"))).otherwise(F.col("_metadata.file_name"))
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """file_name and items (an array: a file holds one object or a list of them), and the files that don't fit."""
     wide = T.ArrayType(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-    text = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(F.trim(F.regexp_replace("value", r"^\s+", "")).alias("value"), F.col("_metadata.file_name").alias("file_name"))
+    text = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(F.trim(F.regexp_replace("value", r"^\s+", "")).alias("value"), _file_name().alias("file_name"))
     listed = F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
     rows = text.withColumn("items", F.from_json(listed, wide, {"columnNameOfCorruptRecord": CORRUPT}))
     bad = F.col("items").isNull() | F.exists("items", lambda x: x[CORRUPT].isNotNull())
