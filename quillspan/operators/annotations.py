@@ -1,4 +1,4 @@
-"""Editing hand-made annotations: find, add, remove, keep the last."""
+"""Editing hand-made annotations: find, add, remove, keep the last, save in order."""
 
 from __future__ import annotations
 
@@ -20,6 +20,26 @@ def keep_last(annotations: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return out.select(*keys, "x.*")
 
 
+def add(annotations: DataFrame, found: DataFrame) -> DataFrame:
+    """annotations and those of found that they do not have yet: equal document, type, place and name without regard to case."""
+    key = ["doc_id", "entity_type", "s", "e"]
+    both = annotations.withColumn("_turn", F.lit(0)).unionByName(found.withColumn("_turn", F.lit(1)))
+    rest = [c for c in annotations.columns if c not in key]
+    out = both.groupBy(*key, F.lower("name").alias("_name")).agg(F.min_by(F.struct(*rest), "_turn").alias("_x"))
+    return out.select(*key, "_x.*").select(*annotations.columns)
+
+
+def by_place(annotations: DataFrame) -> DataFrame:
+    """doc_id and its annotations as a list, sorted by start, end, type and name; sorted in the row, not over all rows."""
+    mark = F.struct("s", "e", "entity_type", "name")
+    return annotations.groupBy("doc_id").agg(F.array_sort(F.collect_list(mark)).alias("annotations"))
+
+
+def save(annotations: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A line of JSON for each document, its annotations in order of place."""
+    by_place(annotations).write.mode(mode).json(path)
+
+
 def remove(annotations: DataFrame, unwanted: DataFrame) -> DataFrame:
     """annotations without those of an unwanted (entity_type, name), names without regard to case."""
     gone = unwanted.select(F.col("entity_type").alias("_t"), F.lower("name").alias("_n")).distinct()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking
-from ..session import ship
+from ..session import shared_dir, ship
 from . import inputs as I
 from .inputs import with_sql
 
@@ -236,6 +238,24 @@ def annotation_remove(spark: SparkSession, d: str) -> DataFrame:
     return annotations.remove(I.spans(spark, d), unwanted)
 
 
+_MARK_SQL = "concat_ws(' ', s, e, entity_type, name)"
+
+
+@query(
+    with_sql(
+        f"SELECT doc_id, count(*) AS n, md5(string_agg({_MARK_SQL}, chr(10) ORDER BY s, e, entity_type, name)) AS marks_md5 FROM spans WHERE entity_type IN ('compounds', 'species') GROUP BY 1",
+        *I.TO_SPANS,
+    )
+)
+def annotations_saved(spark: SparkSession, d: str) -> DataFrame:
+    """Annotations to which names are added that are partly there, saved in order of place and read again."""
+    marks, path = I.spans(spark, d).drop("passage_idx"), f"{shared_dir(spark)}/annotations-{uuid.uuid4().hex}"
+    annotations.save(annotations.add(marks.where("entity_type = 'compounds'"), marks.where("entity_type IN ('compounds', 'species')")), path)
+    read = spark.read.schema("doc_id long, annotations array<struct<s:int,e:int,entity_type:string,name:string>>").json(path)
+    lines = F.transform("annotations", lambda x: F.concat_ws(" ", x["s"].cast("string"), x["e"].cast("string"), x["entity_type"], x["name"]))
+    return read.select("doc_id", F.size("annotations").cast("long").alias("n"), F.md5(F.array_join(lines, "\n").cast("binary")).alias("marks_md5"))
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def resume_pending(spark: SparkSession, d: str) -> DataFrame:
     done = I.table(spark, d, "labels").select("doc_id")

@@ -164,6 +164,10 @@ def test_annotations(spark):
     assert sorted((r["s"], r["e"]) for r in marks.collect()) == [(0, 4), (6, 10)]
     assert annotations.remove(marks, frame(spark, "entity_type string, name string", ("species", "rice"))).count() == 0
     assert [r["value"] for r in annotations.reference_lines(marks).collect()] == ["species: rice"]
+    more = annotations.add(marks, marks.withColumn("name", F.upper("name")).unionByName(marks.withColumns({"s": F.col("s") - 1, "name": F.lit("a")})))
+    assert more.columns == marks.columns and more.count() == 2 * marks.count()
+    for row in annotations.by_place(more).collect():
+        assert [tuple(x) for x in row["annotations"]] == sorted(tuple(x) for x in row["annotations"])
 
 
 def test_loading(spark, tmp_path):
