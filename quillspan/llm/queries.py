@@ -161,6 +161,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where it is beyond a long; exact_deviation has up to 38 digits."""
+    from pyspark.sql import functions as F
+
+    from .whitening import whiten
+
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumns({"exact_deviation": F.col("deviation"), "deviation": F.col("deviation").try_cast("long")})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -173,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_token_files": op10_token_files,
+        "op11_embedding_whitening": op11_embedding_whitening,
     }
 
 
