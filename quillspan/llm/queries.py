@@ -171,6 +171,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"exact_deviation": F.col("deviation"), "deviation": F.col("deviation").try_cast("long")})
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -184,10 +190,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_token_files": op10_token_files,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_spelling_variants": op12_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from .rules_sql import rules_sql
+    from .spelling_sql import spelling_sql
 
-    return {"op2_divergence_rules": rules_sql(), "op5_substring_dedup": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_license_scan": op8_sql(), "op9_jaccard_join": OP9_SQL}
+    return {"op2_divergence_rules": rules_sql(), "op5_substring_dedup": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_license_scan": op8_sql(), "op9_jaccard_join": OP9_SQL, "op12_spelling_variants": spelling_sql()}
