@@ -177,6 +177,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -191,6 +197,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_files": op10_token_files,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_toxicity": op13_toxicity,
     }
 
 
