@@ -157,7 +157,7 @@ def fit(docs: DataFrame, known: DataFrame, most_rows: int = 200_000, least_docs:
         return None
     prior = min(positive / n_known, 0.95)
     toxic = known.where("label > 0.5").where(_sampled(F.col("doc_id"), most_rows / positive)).select("doc_id")
-    confirmed = cut(docs.join(toxic, "doc_id", "left_semi"))
+    confirmed = cut(docs.join(F.broadcast(toxic), "doc_id", "left_semi"))  # ids, about most_rows at most
     n_pos = confirmed.count()
     if not n_pos:
         return None
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, known: DataFrame, most_rows: int = 200_000, least_docs:
     chosen = np.sort(np.argsort(-far, kind="stable")[:n_features])
     features = Features(candidates.keys[chosen])
     chosen_ones = sc.broadcast(features)
-    shards = int(max(1, min(16, n_pos // 1000)))
+    shards = int(max(1, min(64, n_pos // 500)))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +224,7 @@ def fit(docs: DataFrame, known: DataFrame, most_rows: int = 200_000, least_docs:
             return pa.table({"weights": pa.array([], pa.binary())})
         return pa.table({"weights": pa.array([train(pos, rest, len(chosen_ones.value.keys), prior, ridge=ridge / pos[2]).tobytes()], pa.binary())})
 
-    fitted = [np.frombuffer(r["weights"]) for r in rows.groupBy("shard").applyInArrow(learn, "weights binary").collect()]  # 16 at most
+    fitted = [np.frombuffer(r["weights"]) for r in rows.groupBy("shard").applyInArrow(learn, "weights binary").collect()]  # 64 at most
     return Model(features, np.mean(fitted, axis=0)) if fitted else None
 
 
