@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.text import find_spans, let
+from ..functions.automaton import pack_names, searcher
+from ..functions.text import find_spans
+from ..session import number_rows, ship
 
 
-MOST_NAMES = 2000
+#: Characters of names in one automaton, some hundred bytes of memory each; larger lexicons are searched in parts.
+PART = 4_000_000
 
 
 def unique_names(extracted: DataFrame) -> DataFrame:
@@ -23,23 +29,27 @@ def locate(extracted: DataFrame, passages: DataFrame) -> DataFrame:
     return joined.select("doc_id", "passage_idx", "entity_type", "entity_idx", "name", find_spans(F.col("text"), F.col("name"), F.col("u_start")).alias("spans"))
 
 
-def locate_all(passages: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """locate() for a lexicon of which every name is looked for in every passage, without a row for each try.
+def locate_all(passages: DataFrame, lexicon: DataFrame, part: int = PART) -> DataFrame:
+    """The names of a lexicon (entity_type, name) that a passage holds, with spans: every name is looked for in every passage.
 
-    lexicon (entity_type, name) is a list for people to read, of MOST_NAMES at most: collected, it becomes one
-    expression over the text.  A larger one is for an extractor to look up, whose names go to locate().
+    An automaton goes through each text once, whatever the number of names.  entity_idx is the lexicon's own, or else
+    the place of the row in it.  A lexicon of more than ``part`` characters is cut by a hash of its names, and each part
+    is broadcast and searched for itself; so neither the driver nor a task holds more than a part.
     """
-    entries = lexicon.limit(MOST_NAMES + 1).collect()
-    if len(entries) > MOST_NAMES:
-        raise ValueError(f"a lexicon of more than {MOST_NAMES} names: use an extractor and locate()")
-
-    def one(i: int, kind: str, name: str, lowered: Column) -> Column:
-        spans = find_spans(F.col("text"), F.lit(name), F.col("u_start"), lowered)
-        return F.struct(F.lit(kind).alias("entity_type"), F.lit(i).alias("entity_idx"), F.lit(name).alias("name"), spans.alias("spans"))
-
-    tries = let(F.lower("text"), lambda lowered: F.array(*[one(i, r["entity_type"], r["name"], lowered) for i, r in enumerate(entries)]))
-    rows = passages.select("doc_id", "passage_idx", F.explode(tries).alias("m"))
-    return rows.select("doc_id", "passage_idx", "m.entity_type", "m.entity_idx", "m.name", "m.spans")
+    ship(passages.sparkSession)
+    numbered = lexicon.select("entity_idx", "entity_type", "name") if "entity_idx" in lexicon.columns else number_rows(lexicon.select("entity_type", "name"), "entity_idx").select("entity_idx", "entity_type", "name")
+    numbered = numbered.where("name <> ''")
+    parts = max(1, -(-(numbered.agg(F.sum(F.char_length("name"))).first()[0] or 0) // part))
+    rows = passages.select("doc_id", "passage_idx", F.col("u_start").cast("long").alias("u_start"), "text")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in ("doc_id", "passage_idx"))
+    schema = f"{kept}, entity_type string, entity_idx int, name string, spans array<struct<s:int,e:int>>"
+    kinds = to_arrow_schema(passages.sparkSession.createDataFrame([], schema).schema)
+    found = []
+    for k in range(parts):
+        mine = numbered.where(F.pmod(F.xxhash64(F.lower("name")), F.lit(parts)) == k).orderBy("entity_idx").collect()
+        shared = passages.sparkSession.sparkContext.broadcast(pack_names([tuple(r) for r in mine]))
+        found.append(rows.mapInArrow(searcher(shared, kinds), schema))
+    return reduce(DataFrame.union, found)
 
 
 def drop_unfound(located: DataFrame) -> DataFrame:

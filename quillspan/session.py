@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -73,3 +74,16 @@ def materialise(df: DataFrame) -> DataFrame:
     """Written to the shared folder, its lineage dropped: computed once, and kept when executors are lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def number_rows(df: DataFrame, name: str) -> DataFrame:
+    """df with ``name``, the place of each row in the order that df has, from 0.  df is written; then only the number of rows of each
+    partition is on the driver."""
+    rows = materialise(df)
+    counts = {r[0]: r[1] for r in rows.groupBy(F.spark_partition_id()).count().collect()}
+    before, total = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(part, 0)
+    start = F.get(F.array(*[F.lit(x) for x in before or [0]]), F.spark_partition_id())
+    return rows.withColumn(name, start.cast("long") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
