@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..schemas import NO_RELATION
 
 
-MOST_LABELS = 1000
-
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
@@ -60,19 +58,14 @@ def invented(gold: DataFrame, predicted: DataFrame) -> DataFrame:
 
 
 def confusion(outcomes: DataFrame) -> DataFrame:
-    """actual, predicted and n for each pair of labels that occur, zeros included; outcomes: actual, predicted.
+    """actual, predicted and n for each pair of labels that occur on either side, zeros included; outcomes: actual, predicted.
 
-    Labels are a vocabulary; of more than MOST_LABELS only the pairs that occur are listed, each label's own too.
+    The result has as many rows as labels squared.  Each label is dealt the list of all of them, of which the driver has none.
     """
     counts = outcomes.groupBy("actual", "predicted").agg(F.count("*").alias("n"))
     found = counts.select(F.col("actual").alias("label")).union(counts.select("predicted")).distinct()
-    labels = [r["label"] for r in found.limit(MOST_LABELS + 1).collect()]
-    zero = F.lit(0).cast("long")
-    if len(labels) > MOST_LABELS:
-        none = found.select(F.col("label").alias("actual"), F.col("label").alias("predicted"), zero.alias("n"))
-    else:
-        listed = F.array(*[F.lit(x).cast("string") for x in labels])
-        none = outcomes.sparkSession.range(1).select(F.explode(listed).alias("actual")).select("actual", F.explode(listed).alias("predicted"), zero.alias("n"))
+    listed = found.agg(F.collect_set(F.struct("label")).alias("all"))
+    none = found.join(F.broadcast(listed)).select(F.col("label").alias("actual"), F.explode("all.label").alias("predicted"), F.lit(0).cast("long").alias("n"))
     return counts.unionByName(none).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
 
 

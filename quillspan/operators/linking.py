@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fold_ascii
 from ..session import ship
@@ -98,7 +99,7 @@ def link_compounds(compounds: DataFrame, synonyms: DataFrame, smiles: DataFrame,
     """
     index = first_by(synonyms.select(fold_ascii(F.col("synonym")).alias("folded"), "row_idx", "cid"), "folded", "row_idx").select("folded", "cid")
     keyed = compounds.withColumn("folded", F.when(F.col("ontology_id").isNull(), fold_ascii(F.col("name"))))
-    return keyed.join(index, "folded", "left").drop("folded").join(smiles, "cid", "left").join(inchikeys, "cid", "left")
+    return left_join(left_join(left_join(keyed, index, "folded").drop("folded"), smiles, "cid"), inchikeys, "cid")
 
 
 def link_species(species: DataFrame, names: DataFrame, nodes: DataFrame, merged: DataFrame) -> DataFrame:
@@ -127,11 +128,26 @@ def expand_binomials(species: DataFrame) -> DataFrame:
     return joined.withColumn("lookup_name", F.coalesce("_full", "name")).drop("_short", "_full")
 
 
-def attach_once(entities: DataFrame, classes: DataFrame, key: str, *order: str) -> DataFrame:
-    """entities with the columns of classes joined by key, on the first entity of each key alone; null keys have none."""
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
-    marked = entities.withColumn("_first", F.col(key).isNotNull() & first)
-    joined = marked.join(classes, key, "left")
+def left_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows.join(table, key, "left") whose rows without a key are dealt out instead of meeting in one task."""
+    plain = [f.name for f in rows.schema if f.name != key and isinstance(f.dataType, T.AtomicType)]
+    deal = F.pmod(F.xxhash64(*plain), F.lit(4096)) + 1 if plain else F.lit(1)
+    dealt = rows.withColumn("_deal", F.when(F.col(key).isNull(), deal).otherwise(0))
+    return dealt.join(table.withColumn("_deal", F.when(F.col(key).isNull(), -1).otherwise(0)), [key, "_deal"], "left").drop("_deal")
+
+
+def attach_once(entities: DataFrame, classes: DataFrame, key: str, *order: str, deals: int = 256) -> DataFrame:
+    """entities with the columns of classes joined by key, on the first entity of each key alone; null keys have none.
+
+    The first of a key is found among the firsts of its ``deals`` shares, so a key that most entities have is no single
+    task; rows without a key are dealt out as well.
+    """
+    share = F.pmod(F.xxhash64(*order), F.lit(deals))
+    own = F.row_number().over(Window.partitionBy(key, "_share").orderBy(*order)) == 1
+    turns = entities.withColumn("_share", share).withColumn("_one", F.col(key).isNotNull() & own)
+    last = F.when(F.col("_one"), -1).otherwise(F.col("_share"))
+    marked = turns.withColumn("_share", last).withColumn("_first", F.col("_one") & (F.row_number().over(Window.partitionBy(key, "_share").orderBy(*order)) == 1))
+    joined = left_join(marked, classes, key)
     new = [c for c in classes.columns if c != key]
     return joined.select(*[c for c in entities.columns], *[F.when(F.col("_first"), F.col(c)).alias(c) for c in new])
 
@@ -155,4 +171,4 @@ def natural_products(entities: DataFrame, classifier) -> DataFrame:
     keyed = entities.withColumn("_smiles", asked)
     classes = classifier(keyed.select(F.col("_smiles").alias("SMILES")).where("SMILES IS NOT NULL").distinct())
     classes = classes.select(F.col("SMILES").alias("_smiles"), F.struct("Np_class", "Np_superclass").alias("Natural_product_class"))
-    return keyed.join(classes, "_smiles", "left").drop("_smiles")
+    return left_join(keyed, classes, "_smiles").drop("_smiles")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.vectors import embedder
-from ..operators import annotations, evaluation, linking, loading, mentions, passages, relations
+from ..operators import annotations, evaluation, hierarchy, linking, loading, mentions, passages, relations
 from ..schemas import DEFINITIONS, NO_DEFINITION, NO_RELATION, NOT_GUIDED, PREDICATES, predicate_guidelines
 from ..session import ship
 from .inputs import quoted, table, with_sql
@@ -212,6 +212,31 @@ def classify_first_only(spark: SparkSession, d: str) -> DataFrame:
     return linking.attach_once(part.select("p_partkey", "p_brand"), classes, "p_brand", "p_partkey")
 
 
+_TREE = "part_tree(tax_id, parent_tax_id) AS (SELECT p_partkey, greatest(p_partkey - 1 - (p_partkey * 7) % 40, CASE WHEN p_partkey % 500 = 0 THEN p_partkey ELSE 0 END) FROM part)"
+_UP = f"{_TREE}, up(tax_id, ancestor, depth) AS (SELECT tax_id, parent_tax_id, 1 FROM part_tree WHERE parent_tax_id <> tax_id UNION ALL SELECT u.tax_id, n.parent_tax_id, depth + 1 FROM up u JOIN part_tree n ON n.tax_id = u.ancestor WHERE n.parent_tax_id <> n.tax_id)"
+
+
+def part_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as nodes of trees of more than sixty levels: some are their own parents, some have a parent that is no node."""
+    up = F.expr("greatest(p_partkey - 1 - (p_partkey * 7) % 40, CASE WHEN p_partkey % 500 = 0 THEN p_partkey ELSE 0 END)")
+    return table(spark, d, "part").select(F.col("p_partkey").alias("tax_id"), up.alias("parent_tax_id"))
+
+
+@query(f"WITH RECURSIVE {_UP} SELECT tax_id, ancestor, CAST(depth AS BIGINT) AS depth FROM up")
+def taxonomy_ancestors(spark: SparkSession, d: str) -> DataFrame:
+    return hierarchy.ancestors(part_tree(spark, d))
+
+
+@query(
+    f"""WITH RECURSIVE {_UP}, real AS (SELECT * FROM up WHERE ancestor IN (SELECT tax_id FROM part_tree))
+        SELECT p.tax_id, coalesce(r.root, p.tax_id) AS root, coalesce(r.depth, 0) AS depth, 1 + coalesce(b.below, 0) AS size
+        FROM part_tree p LEFT JOIN (SELECT tax_id, CAST(max(depth) AS BIGINT) AS depth, arg_max(ancestor, depth) AS root FROM real GROUP BY 1) r USING (tax_id)
+        LEFT JOIN (SELECT ancestor AS tax_id, count(*) AS below FROM real GROUP BY 1) b USING (tax_id)"""
+)
+def taxonomy_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return hierarchy.intervals(part_tree(spark, d)).select("tax_id", "root", "depth", "size")
+
+
 @query()
 def embed_terms(spark: SparkSession, d: str) -> DataFrame:
     ship(spark)

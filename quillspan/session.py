@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: for rounds that build on each other, whose plans then start from a plain scan.
+    (A checkpoint remembers what is known of its columns, which grows from round to round until planning stands still.)"""
+    path = f"{shared_dir(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def number_rows(df: DataFrame, name: str) -> DataFrame:
     """df with ``name``, the place of each row in the order that df has, from 0.  df is written; then only the number of rows of each
     partition is on the driver."""

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hierarchy import ancestors
 from ..operators.linking import first_by
-from ..session import ship
+from ..session import shared_dir, ship
 
 TAXONOMY = {"nodes": "nodes.dmp", "names": "names.dmp", "merged": "merged.dmp"}
 
@@ -66,11 +68,24 @@ def _untar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array([kind] * len(lines), pa.string()), pa.array(range(at, at + len(lines)), pa.int64()), pa.array(lines, pa.string())], ["kind", "row_idx", "line"])
 
 
-def taxonomy_lines(spark: SparkSession, path: str) -> DataFrame:
-    """kind (nodes, names, merged), row_idx and line, from a taxonomy archive or from a folder of its .dmp files."""
+def unpack_taxonomy(spark: SparkSession, archive: str, folder: str, lines_each: int = 200_000) -> None:
+    """Writes the lines of an archive's tables to a folder of small Parquet files, by table.
+
+    A gzip stream can only be read from its start, so this one step is one task; it holds some lines at a time, and all later
+    work reads the files it wrote in as many tasks as there are.
+    """
     ship(spark)
+    lines = spark.read.format("binaryFile").load(archive).select("content").mapInArrow(_untar, "kind string, row_idx bigint, line string")
+    lines.write.mode("overwrite").option("maxRecordsPerFile", lines_each).partitionBy("kind").parquet(folder)
+
+
+def taxonomy_lines(spark: SparkSession, path: str) -> DataFrame:
+    """kind (nodes, names, merged), row_idx and line, from a taxonomy archive, which is unpacked to the shared folder first, or
+    from a folder of its .dmp files."""
     if path.rstrip("/").endswith((".tar.gz", ".tgz", ".tar")):
-        return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_untar, "kind string, row_idx bigint, line string")
+        folder = f"{shared_dir(spark)}/taxonomy-{uuid.uuid4().hex}"
+        unpack_taxonomy(spark, path, folder)
+        return spark.read.schema("row_idx bigint, line string, kind string").parquet(folder)
     lines = spark.read.text(f"{path}/*.dmp").select("value", F.regexp_extract("_metadata.file_name", r"(\w+)\.dmp", 1).alias("kind"), F.monotonically_increasing_id().alias("row_idx"))
     return lines.select("kind", "row_idx", F.col("value").alias("line"))
 
@@ -93,12 +108,6 @@ def read_taxonomy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
-def lineage(nodes: DataFrame, depth: int = 64) -> DataFrame:
-    """tax_id and ancestor for every ancestor of a node, by a recursive query of at most depth levels."""
-    nodes.createOrReplaceTempView("_taxonomy_nodes")
-    return nodes.sparkSession.sql(
-        f"""WITH RECURSIVE up(tax_id, ancestor, depth) AS (
-              SELECT tax_id, parent_tax_id, 1 FROM _taxonomy_nodes WHERE parent_tax_id <> tax_id
-              UNION ALL SELECT up.tax_id, n.parent_tax_id, depth + 1 FROM up JOIN _taxonomy_nodes n ON n.tax_id = up.ancestor WHERE n.parent_tax_id <> n.tax_id AND depth < {int(depth)})
-            SELECT tax_id, ancestor, depth FROM up"""
-    )
+def lineage(nodes: DataFrame) -> DataFrame:
+    """tax_id, ancestor and depth for every ancestor of a node, however deep the tree is (see hierarchy.ancestors)."""
+    return ancestors(nodes, "tax_id", "parent_tax_id")
