@@ -2,81 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import fold_ascii
-from ..session import ship
+from .nearest import nearest_terms
 
 BINOMIAL = "^[A-Z][a-z]+ [a-z]+$"
-BLOCK = 2048
-MOST_SPACES = 10_000
-
-
-def _blocked(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """rows with block, about BLOCK of a space in each, and the number of blocks of each space (spaces are few: each is an ontology)."""
-    spaces = rows.groupBy("space").count().limit(MOST_SPACES + 1).collect()
-    if len(spaces) > MOST_SPACES:
-        raise ValueError(f"more than {MOST_SPACES} ontologies")
-    kind = dict(rows.dtypes)["space"]
-    n = rows.sparkSession.createDataFrame([(r["space"], -(-r["count"] // BLOCK)) for r in spaces if r["space"] is not None], f"space {kind}, blocks long")
-    return rows.join(F.broadcast(n), "space").withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks"))).drop("blocks"), n
-
-
-def nearest_terms(entities: DataFrame, terms: DataFrame) -> DataFrame:
-    """entity_id, space, row_idx and score of the term of the same space with the largest cosine, the first of equals.
-
-    entities: entity_id, space, vec; terms: row_idx, space, vec, and not_for (an entity_id that the term may not be
-    matched with, or null).  Terms are packed in blocks, entities in packs that go to every block of their space, by
-    space and block, so that no space is one key; a meeting is a matrix product, the best over the blocks an
-    aggregate.  Rows without a space or a vector match nothing.
-    """
-    ship(entities.sparkSession)
-    dealt, n_blocks = _blocked(terms.where("vec IS NOT NULL AND space IS NOT NULL"), "row_idx")
-    blocks = (
-        dealt.groupBy("space", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("row_idx", "not_for", F.col("vec").cast("array<double>").alias("vec")))).alias("rows"))
-        .select("space", "block", F.col("rows.row_idx").alias("row_idx"), F.col("rows.not_for").alias("not_for"), F.flatten("rows.vec").alias("flat"))
-    )
-    dealt, _ = _blocked(entities.where("vec IS NOT NULL AND space IS NOT NULL"), "entity_id")
-    packs = (
-        dealt.withColumnRenamed("block", "pack")
-        .groupBy("space", "pack")
-        .agg(F.sort_array(F.collect_list(F.struct("entity_id", F.col("vec").cast("array<double>").alias("vec")))).alias("rows"))
-        .join(F.broadcast(n_blocks), "space")
-        .select("space", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("rows.entity_id").alias("entity_id"), F.flatten("rows.vec").alias("mine"))
-    )
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for space, ids, mine, rows, banned, flat in zip(*(batch.column(c) for c in ("space", "entity_id", "mine", "row_idx", "not_for", "flat")), strict=True):
-                ids, rows = np.array(ids.as_py()), np.array(rows.as_py())
-                size = len(mine) // len(ids)
-                a = mine.values.to_numpy().reshape(len(ids), size)
-                b = flat.values.to_numpy().reshape(len(rows), size)
-                length = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    score = np.where(length > 0, (a @ b.T) / length, -np.inf)
-                out = np.array([np.iinfo(np.int64).min if x is None else x for x in banned.as_py()])
-                score[ids[:, None] == out[None, :]] = -np.inf
-                best = score.argmax(axis=1)
-                top = score[np.arange(len(ids)), best]
-                ok = np.isfinite(top)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[ok], pa.int64()), pa.array([space.as_py()] * int(ok.sum()), space.type), pa.array(rows[best][ok], pa.int64()), pa.array(top[ok])], ["entity_id", "space", "row_idx", "score"]
-                )
-
-    kind = dict(terms.dtypes)["space"]
-    met = packs.join(blocks, ["space", "block"]).select("space", "entity_id", "mine", "row_idx", "not_for", "flat").mapInArrow(match, f"entity_id long, space {kind}, row_idx long, score double")
-    best = met.groupBy("entity_id", "space").agg(F.max(F.struct("score", (-F.col("row_idx")).alias("row"))).alias("b"))
-    return best.select("entity_id", "space", (-F.col("b.row")).alias("row_idx"), F.col("b.score").alias("score"))
-
-
 def surface_forms(terms: DataFrame, name: Column, synonyms: Column) -> DataFrame:
     """terms with a row for each distinct surface form: the name and its synonyms."""
     forms = F.filter(F.array_distinct(F.concat(F.array(F.trim(name)), synonyms)), lambda x: x.isNotNull() & (x != ""))
