@@ -202,6 +202,24 @@ def compound_dumps(spark: SparkSession, d: str) -> DataFrame:
     return ref.smiles.join(ref.inchikeys, "cid").join(counts, "cid").select("cid", "smiles", "inchikey", "n_synonyms")
 
 
+@query(
+    """SELECT reason, line, count(*) AS n FROM (
+         SELECT CASE WHEN o_orderkey % 5 = 1 OR o_orderkey % 5 = 2 OR o_orderkey % 5 = 4 THEN 'malformed' ELSE 'no synonym' END AS reason,
+                CASE o_orderkey % 5 WHEN 1 THEN o_orderstatus WHEN 2 THEN 'C' || o_custkey || chr(9) || o_orderpriority
+                  WHEN 4 THEN o_custkey || chr(9) || o_orderstatus || chr(9) || 'more' ELSE o_custkey || chr(9) END AS line
+         FROM orders WHERE o_orderkey % 5 <> 0) GROUP BY ALL"""
+)
+def rejected_dump_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A dump in which most rows have too few or too many columns, no number or no name: none goes unseen."""
+    orders = table(spark, d, "orders")
+    key = F.col("o_custkey").cast("string")
+    rest = F.col("o_orderkey") % 5
+    bad = F.when(rest == 1, F.col("o_orderstatus")).when(rest == 2, F.concat(F.lit("C"), key, F.lit("\t"), "o_orderpriority")).when(rest == 4, F.concat(key, F.lit("\t"), "o_orderstatus", F.lit("\tmore")))
+    line = F.coalesce(bad, F.concat(key, F.lit("\t"), F.when(rest == 0, F.col("o_orderpriority")).otherwise("")))
+    path = _lines(orders, line, f"{_folder(spark)}/synonyms", compression="gzip")
+    return dumps.rejected_rows(spark, path, "synonyms").groupBy("reason", "line").agg(F.count("*").alias("n"))
+
+
 @query(
     """SELECT CAST(100 + n_nationkey AS INT) AS tax_id, upper(n_name) AS name, CAST(500 + n_nationkey AS INT) AS old_tax_id, CAST(a AS INT) AS ancestor, CAST(depth AS INT) AS depth
        FROM (SELECT *, unnest([10 + n_regionkey, 1]) AS a, unnest([1, 2]) AS depth FROM nation)"""

@@ -18,9 +18,20 @@ from ..session import shared_dir, ship
 TAXONOMY = {"nodes": "nodes.dmp", "names": "names.dmp", "merged": "merged.dmp"}
 
 
-def _tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows with row_idx: by file name, and by place within a file.  A gzip file is one task, others are read in blocks."""
-    rows = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("mode", "DROPMALFORMED").csv(path)
+#: Columns of each compound dump, and those that a row must have.
+DUMPS = {
+    "smiles": ("cid bigint, smiles string", ("cid", "smiles")),
+    "inchikeys": ("cid bigint, inchi string, inchikey string", ("cid", "inchikey")),
+    "synonyms": ("cid bigint, synonym string", ("cid", "synonym")),
+}
+
+
+def _tsv(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """All rows with row_idx (by file name, and by place within a file), line (null unless the row is malformed) and reason (why a
+    row is no good, else null).  A gzip file is one task, others are read in blocks."""
+    schema, needed = DUMPS[kind]
+    options = {"sep": "\t", "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "line"}
+    rows = spark.read.schema(f"{schema}, line string").options(**options).csv(path)
     files = {name: i for i, name in enumerate(sorted(rows.inputFiles()))}  # some files: dumps are single or few
     number = F.lit(0).cast("long")
     if len(files) > 1:
@@ -28,24 +39,37 @@ def _tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     # a record's number in its task, below the block of the file that the task reads
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     start = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    return rows.withColumn("row_idx", F.shiftleft(F.coalesce(number, F.lit(0).cast("long")), 54) + F.shiftleft(start, 33) + place)
+    rows = rows.withColumn("row_idx", F.shiftleft(F.coalesce(number, F.lit(0).cast("long")), 54) + F.shiftleft(start, 33) + place)
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in needed])
+    return rows.withColumn("reason", F.when(F.col("line").isNotNull(), "malformed").otherwise(missing))
+
+
+def rejected_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The rows of a dump (smiles, inchikeys or synonyms) that are left out: row_idx, reason, and line: the malformed line as it is, or
+    the columns of a row that lacks a value it must have.  Rows read are those that are kept, these, and repeats of a key."""
+    rows = _tsv(spark, path, kind)
+    columns = [c for c in rows.columns if c not in ("line", "row_idx", "reason")]
+    text = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return rows.where("reason IS NOT NULL").select("row_idx", "reason", F.coalesce("line", text).alias("line"))
+
+
+def _good(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return _tsv(spark, path, kind).where("reason IS NULL").drop("line", "reason")
 
 
 def read_smiles(spark: SparkSession, path: str) -> DataFrame:
-    """cid and smiles; the first row of each cid, rows without both are left out."""
-    rows = _tsv(spark, path, "cid bigint, smiles string").where("cid IS NOT NULL AND smiles IS NOT NULL")
-    return first_by(rows, "cid", "row_idx").select("cid", "smiles")
+    """cid and smiles; the first row of each cid.  For rows without both see rejected_rows."""
+    return first_by(_good(spark, path, "smiles"), "cid", "row_idx").select("cid", "smiles")
 
 
 def read_inchikeys(spark: SparkSession, path: str) -> DataFrame:
     """cid and inchikey, from the first and third column."""
-    rows = _tsv(spark, path, "cid bigint, inchi string, inchikey string").where("cid IS NOT NULL AND inchikey IS NOT NULL")
-    return first_by(rows.drop("inchi"), "cid", "row_idx").select("cid", "inchikey")
+    return first_by(_good(spark, path, "inchikeys").drop("inchi"), "cid", "row_idx").select("cid", "inchikey")
 
 
 def read_synonyms(spark: SparkSession, path: str) -> DataFrame:
     """row_idx, cid and synonym."""
-    return _tsv(spark, path, "cid bigint, synonym string").where("cid IS NOT NULL AND synonym IS NOT NULL")
+    return _good(spark, path, "synonyms").select("row_idx", "cid", "synonym")
 
 
 def _untar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,3 +158,14 @@ def test_fetching(spark):
 
     ids = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "id string")
     assert sorted(map(tuple, fetch_articles(ids, call).collect())) == [("a", "<a/>"), ("b", None)]
+
+
+def test_rows_of_dumps_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    lines = ["1\tC", "2\tCC\textra", "x\tO", "3", "4\t", "1\tN", "5\tO"]
+    (tmp_path / "smiles.tsv").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "smiles.tsv")
+    good = [tuple(r) for r in dumps.read_smiles(spark, path).orderBy("cid").collect()]
+    assert good == [(1, "C"), (5, "O")]
+    bad = {r["line"]: r["reason"] for r in dumps.rejected_rows(spark, path, "smiles").collect()}
+    assert bad == {"2\tCC\textra": "malformed", "x\tO": "malformed", "3": "malformed", "4\t": "no smiles"}
+    assert len(good) + len(bad) + 1 == len(lines)
