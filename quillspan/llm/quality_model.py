@@ -174,10 +174,11 @@ def fit(labelled: DataFrame, most_rows: int = 200_000, ridge: float = 1e-3, bins
 
     Of more than most_rows rows a hash of the id picks about that many: the bound on what is fitted.
     """
+    labelled = cut(labelled)
     n = labelled.count()
     if n > most_rows:
         labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * most_rows / n))
-    labelled = cut(labelled.coalesce(16))
+    labelled = cut(labelled.repartition(16, "doc_id"))  # what is fitted is bounded, the rows that it is picked from are not
     moments = [f(F.get("stats", F.lit(i))) for i in range(len(NAMES)) for f in (F.avg, F.stddev_pop)]
     first = labelled.agg(F.min("label"), F.max("label"), *moments).first()
     if first[0] is None or first[0] == first[1]:
