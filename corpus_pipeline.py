@@ -43,7 +43,8 @@ def _numbered(held: DataFrame) -> DataFrame:
         return held.withColumn("number", F.col("doc_id"))
     order = held.select(F.col("doc_id").alias("id"), F.col("sha").alias("of")).distinct().orderBy(F.asc_nulls_last("id"), "of")
     numbers = cut(order.withColumn("number", F.monotonically_increasing_id()))
-    return held.join(numbers, held["doc_id"].eqNullSafe(numbers["id"]) & (held["sha"] == numbers["of"])).dropDuplicates(["number"])
+    joined = held.join(numbers, held["doc_id"].eqNullSafe(numbers["id"]) & (held["sha"] == numbers["of"])).dropDuplicates(["number"])
+    return cut(joined)  # what is written keeps its order when a task runs again, which a join's rows don't
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
