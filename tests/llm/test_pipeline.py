@@ -29,7 +29,7 @@ def stages(spark, data, tmp_path_factory):
 
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "n-gram Jaccard join", "mixing sources to target weights", "best-fit packing"]
-    assert corpus_pipeline.queries().keys() == {"pipeline"} and len([q for q in queries() if q.startswith("op")]) == 10
+    assert corpus_pipeline.queries().keys() == {"pipeline"} and len([q for q in queries() if q.startswith("op")]) == 13
 
 
 def test_all_but_the_last_keep_the_columns(stages):
