@@ -178,7 +178,6 @@ def fit(labelled: DataFrame, most_rows: int = 200_000, ridge: float = 1e-3, bins
     n = labelled.count()
     if n > most_rows:
         labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * most_rows / n))
-    labelled = cut(labelled.repartition(16, "doc_id"))  # what is fitted is bounded, the rows that it is picked from are not
     moments = [f(F.get("stats", F.lit(i))) for i in range(len(NAMES)) for f in (F.avg, F.stddev_pop)]
     first = labelled.agg(F.min("label"), F.max("label"), *moments).first()
     if first[0] is None or first[0] == first[1]:
@@ -195,11 +194,20 @@ def fit(labelled: DataFrame, most_rows: int = 200_000, ridge: float = 1e-3, bins
             for k in np.unique(half).tolist():
                 total[k] = total.get(k, 0) + z[half == k].T @ zy[half == k]
         for k, v in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["half", "sums"])
-
-    halves = {0: 0.0, 1: 0.0}
-    for row in labelled.mapInArrow(sums, "half int, sums binary").collect():  # two for each of 16 partitions at most
-        halves[row["half"]] = halves[row["half"]] + np.frombuffer(row["sums"]).reshape(len(model.weights), -1)
+            n = len(v)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([r.tobytes() for r in v], pa.binary())], ["half", "line", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        """One line of the equations of a half, summed over the partitions."""
+        line = np.sum([np.frombuffer(x) for x in table.column("sums").to_pylist()], axis=0)
+        return table.slice(0, 1).set_column(2, "sums", pa.array([line.tobytes()], pa.binary()))
+
+    halves: dict[int, np.ndarray | float] = {0: 0.0, 1: 0.0}
+    schema, width = "half int, line int, sums binary", len(model.weights)
+    for row in labelled.mapInArrow(sums, schema).groupBy("half", "line").applyInArrow(add, schema).collect():  # two for each weight
+        if not np.ndim(halves[row["half"]]):
+            halves[row["half"]] = np.zeros((width, width + 1))
+        halves[row["half"]][row["line"]] = np.frombuffer(row["sums"])
 
     def solve(s: np.ndarray) -> np.ndarray:
         a = s[:, :-1] + ridge * max(s[0, 0], 1.0) * np.eye(len(s))
