@@ -68,7 +68,9 @@ def cooccurrence(texts: DataFrame, column: str = "text", window: int = 2, n_piec
     pairs = listed.select(F.explode(met).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
     both = pairs.select(F.explode(F.array(F.struct("a", "b", "n"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "n"))).alias("p"))
     by_word = both.groupBy(F.col("p.a").alias("word"), _bucket(F.col("p.b"), n_contexts).alias("context")).agg(F.sum("p.n").alias("n"))
-    return by_word.select(F.explode(pieces(F.col("word"), n_pieces)).alias("piece"), "context", "n").groupBy("piece", "context").agg(F.sum("n").alias("n"))
+    around = by_word.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("around"))  # n_contexts at most; so a word is hashed once
+    spread = around.select(F.explode(pieces(F.col("word"), n_pieces)).alias("piece"), "around").select("piece", F.explode("around").alias("x"))
+    return spread.groupBy("piece", "x.context").agg(F.sum("x.n").alias("n"))
 
 
 def mutual_information(counts: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:
     """id: the distinct trimmed values of a column, found by its trimmed name; nulls and blanks go."""
-    name = next(c for c in df.columns if c.strip() == column)
+    name = next((c for c in df.columns if c.strip() == column), None)
+    if name is None:
+        raise ValueError(f"no column {column!r} among {df.columns}")
     return df.select(F.trim(F.col(f"`{name}`")).alias("id")).where(F.col("id").isNotNull() & (F.col("id") != "")).distinct()
 
 

@@ -9,11 +9,16 @@ from ..schemas import NO_DEFINITION, NO_RELATION
 
 
 def route(relations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Relations, and those that say there is none."""
+    """Relations, and those that say there is none.  Pairs without a predicate are in neither: see unanswered()."""
     none = F.col("predicate") == NO_RELATION
     return relations.where(~none), relations.where(none)
 
 
+def unanswered(relations: DataFrame) -> DataFrame:
+    """Pairs whose predicate is null, because no answer of the model fitted: kept to be asked again or looked at."""
+    return relations.where("predicate IS NULL")
+
+
 def judge(relations: DataFrame) -> DataFrame:
     """relations with decision: yes if the justification, without regard to case, is in the context."""
     found = F.contains(F.lower("context"), F.lower("justification")) & (F.trim("justification") != "")

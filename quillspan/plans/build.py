@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loading import store
 from ..operators.providers import Embedder
-from ..session import ship
+from ..session import number_rows, ship
 from ..sources import dumps, ontologies
 from .corpus import Reference
 
@@ -24,13 +24,15 @@ def build_reference(spark: SparkSession, folder: str, taxonomy: str | None = Non
 
 
 def ontology_vectors(terms: DataFrame, ontology: str, embed: Embedder, namespace: str | None = None) -> DataFrame:
-    """ontology, row_idx, id, surface, canonical_name, namespace and vec: a row for each surface form of a term."""
+    """ontology, row_idx, id, surface, canonical_name, namespace and vec: a row for each surface form of a term.
+
+    Rows are numbered by id and surface, by a range sort and the sizes of its partitions; no task has them all.
+    """
     ship(terms.sparkSession)
     named = terms.where("name IS NOT NULL" if namespace is None else F.col("name").isNotNull() & (F.col("namespace") == namespace))
-    surfaces = ontologies.term_surfaces(named)
-    number = F.row_number().over(Window.orderBy("id", "surface")) - 1  # an ontology is a table of some thousand terms
+    surfaces = number_rows(ontologies.term_surfaces(named).orderBy("id", "surface"), "row_idx")
     return surfaces.select(
-        F.lit(ontology).alias("ontology"), number.cast("long").alias("row_idx"), "id", "surface", F.col("name").alias("canonical_name"), "namespace", embed(F.col("surface")).alias("vec")
+        F.lit(ontology).alias("ontology"), "row_idx", "id", "surface", F.col("name").alias("canonical_name"), "namespace", embed(F.col("surface")).alias("vec")
     )
 
 

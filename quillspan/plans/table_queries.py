@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.vectors import embedder
-from ..operators import annotations, evaluation, hierarchy, linking, loading, mentions, passages, relations
+from ..operators import annotations, embedding, evaluation, hierarchy, linking, loading, mentions, passages, relations
 from ..schemas import DEFINITIONS, NO_DEFINITION, NO_RELATION, NOT_GUIDED, PREDICATES, predicate_guidelines
-from ..session import ship
+from ..session import materialise, ship
 from .inputs import quoted, table, with_sql
 
 QUERIES: dict = {}
@@ -243,6 +243,37 @@ def embed_terms(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_name").distinct().select("p_name", embedder(64)("p_name").alias("vec"))
 
 
+_PIECE_SQL = "CAST(CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT) % {n} AS INT)"
+
+
+@query(
+    f"""WITH listed AS (SELECT list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+       near AS (SELECT unnest(list_zip(w[1:len(w) - 1], w[2:])) AS p FROM listed WHERE len(w) > 1
+                UNION ALL SELECT unnest(list_zip(w[1:len(w) - 2], w[3:])) FROM listed WHERE len(w) > 2),
+       pairs AS (SELECT struct_extract(p, 1) AS a, struct_extract(p, 2) AS b, count(*) AS n FROM near GROUP BY 1, 2),
+       by_word AS (SELECT a, {_PIECE_SQL.format(x="b", n=embedding.CONTEXTS)} AS context, sum(n) AS n
+                   FROM (SELECT a, b, n FROM pairs UNION ALL SELECT b, a, n FROM pairs) GROUP BY 1, 2),
+       pieces AS (SELECT a, unnest(list_distinct(list_transform(list_append(list_transform(range(1, length(a) + 1), lambda i: substring('<' || a || '>', i, 3)), '<' || a || '>'),
+                                                                lambda x: {_PIECE_SQL.format(x="x", n=embedding.PIECES)}))) AS piece FROM (SELECT DISTINCT a FROM by_word)),
+       counts AS (SELECT piece, context, sum(n) AS n FROM by_word JOIN pieces USING (a) GROUP BY 1, 2),
+       valued AS (SELECT piece, context, n, ln(CAST(n AS DOUBLE) * sum(n) OVER () / (CAST(sum(n) OVER (PARTITION BY piece) AS DOUBLE) * sum(n) OVER (PARTITION BY context))) AS ppmi FROM counts)
+       SELECT piece, count(*) AS n_contexts, CAST(sum(n) AS BIGINT) AS n, CAST(sum(context * CAST(round(ppmi * 1e6) AS BIGINT)) AS BIGINT) AS placed, CAST(sum(CAST(round(ppmi * 1e6) AS BIGINT)) AS BIGINT) AS millionths
+       FROM valued WHERE ppmi > 0 GROUP BY piece"""
+)
+def subword_ppmi(spark: SparkSession, d: str) -> DataFrame:
+    """The mutual information of each piece of a word with all that surrounds it, in millionths, summed plainly and by place."""
+    counts = materialise(embedding.cooccurrence(table(spark, d, "documents")))
+    found = embedding.mutual_information(counts).withColumn("m", F.round(F.col("ppmi") * 1e6).cast("long"))
+    sums = [F.sum("n").alias("n"), F.sum(F.col("context") * F.col("m")).alias("placed"), F.sum("m").alias("millionths")]
+    return found.groupBy("piece").agg(F.count("*").alias("n_contexts"), *sums)
+
+
+@query()
+def learned_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """The vectors of all word pieces of the documents, held against numpy's SVD in tests."""
+    return embedding.learn_vectors(table(spark, d, "documents")).vectors
+
+
 # ---------- relations ----------
 
 _PREDICATE = f"CASE l_returnflag WHEN 'N' THEN '{NO_RELATION}' WHEN 'A' THEN 'made_in' ELSE 'present_in' END"

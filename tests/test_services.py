@@ -5,7 +5,7 @@ from urllib.parse import quote
 import pytest
 from pyspark.sql import functions as F
 
-from quillspan.operators import linking, prompts, providers, relations
+from quillspan.operators import linking, nearest, prompts, providers, relations
 from quillspan.schemas import PREDICATES
 from quillspan.sources import fetch, ontologies
 
@@ -102,7 +102,7 @@ def test_nearest_terms_without_vectors(spark):
 def test_large_spaces_meet_by_blocks(spark, monkeypatch):
     import numpy as np
 
-    monkeypatch.setattr(linking, "BLOCK", 16)
+    monkeypatch.setattr(nearest, "BLOCK", 16)
     rng = np.random.default_rng(0)
     t, e = rng.normal(size=(300, 8)), rng.normal(size=(90, 8))
     terms = spark.createDataFrame([(i, "ab"[i % 7 == 0], t[i].tolist(), None) for i in range(300)], "row_idx long, space string, vec array<double>, not_for long")
@@ -131,3 +131,19 @@ def test_sets_and_subjects(spark):
     assert got == {("x", "first"), (None, "both"), ("z", "second")}
     flat = spark.createDataFrame([("Salicylic acid", "made_in", "leaf"), ("Other", "made_in", "root")], "subject_name string, predicate string, object_name string")
     assert [r["subject_name"] for r in relations.by_subject(flat, "ACID").collect()] == ["Salicylic acid"]
+
+
+def test_pairs_without_an_answer_are_kept_apart(spark):
+    from quillspan.operators import relations
+    from quillspan.schemas import NO_RELATION
+
+    rows = spark.createDataFrame([(1, "made_in"), (2, NO_RELATION), (3, None)], "k int, predicate string")
+    parts = [*relations.route(rows), relations.unanswered(rows)]
+    assert [[r.k for r in part.collect()] for part in parts] == [[1], [2], [3]]
+
+
+def test_a_missing_id_column_is_named(spark):
+    from quillspan.operators import loading
+
+    with pytest.raises(ValueError, match="no column 'PMCID'"):
+        loading.distinct_ids(spark.createDataFrame([("1",)], "other string"), "PMCID")
