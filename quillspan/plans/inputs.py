@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let, running_starts
 from ..operators import mentions, passages, ranking
 from ..schemas import ENTITY_POLICY
 from ..session import materialise, spread
@@ -51,6 +52,27 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(mentions.spans_of(located(spark, sf_dir)))
 
 
+# What is annotated in the documents, and how it is told from other text.
+ANNOTATED = {
+    "address": r"[A-Za-z0-9]+(\.[A-Za-z0-9]+)*@[A-Za-z0-9]+(\.[A-Za-z0-9]+)+",
+    "host": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+    "telephone": r"\+[0-9]{1,2} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
+}
+_NAMED = "|".join(ANNOTATED.values())
+
+
+def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold names: addresses, hosts and telephone numbers of the documents that were labelled; doc_id, passage_idx, entity_type, name, s, e."""
+    p = article_passages(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    cut = p.select("doc_id", "passage_idx", "u_start", F.split("text", _NAMED, -1).alias("parts"), F.regexp_extract_all("text", F.lit(_NAMED), F.lit(0)).alias("names")).where(F.size("names") > 0)
+    begin = running_starts(F.zip_with(F.slice("parts", 1, F.size("names")), "names", lambda x, y: F.char_length(x) + F.char_length(y)))
+    places = let(begin, lambda at: F.transform("names", lambda x, i: F.struct(x.alias("name"), (F.get(at, i) + F.char_length(F.get("parts", i))).alias("at"))))
+    x = cut.select("doc_id", "passage_idx", "u_start", F.explode(places).alias("x")).select("doc_id", "passage_idx", "u_start", "x.*")
+    kind = reduce(lambda other, k: F.when(F.col("name").rlike(f"^({ANNOTATED[k]})$"), k).otherwise(other), reversed(ANNOTATED), F.lit(None).cast("string"))
+    s = F.col("u_start") + F.col("at")
+    return x.select("doc_id", "passage_idx", kind.alias("entity_type"), "name", s.cast("int").alias("s"), (s + F.char_length("name")).cast("int").alias("e"))
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages as units: doc_id, unit_idx, u_start, u_end, text."""
     p = article_passages(spark, sf_dir)
@@ -114,6 +136,21 @@ spans AS (
   WHERE contains(name, ' ') OR contains(name, '(')
      OR NOT (regexp_matches(CASE WHEN p = 0 THEN ' ' ELSE substring(text, p, 1) END, {_EDGE})
              OR regexp_matches(substring(text, p + length(name) + 1, 1), {_EDGE})))"""
+_KIND_SQL = "CASE " + " ".join(f"WHEN regexp_full_match(name, {quoted(x)}) THEN {quoted(k)}" for k, x in ANNOTATED.items()) + " END"
+ANNOTATED_SQL = f"""
+cut AS (SELECT doc_id, passage_idx, u_start, regexp_extract_all(text, {quoted(_NAMED)}) AS names, string_split_regex(text, {quoted(_NAMED)}) AS parts
+        FROM passages WHERE doc_id IN (SELECT doc_id FROM labels)),
+laid AS (SELECT doc_id, passage_idx, name, u_start + n + coalesce(sum(n + length(name)) OVER (PARTITION BY doc_id, passage_idx ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+         FROM (SELECT doc_id, passage_idx, u_start, i, names[i] AS name, length(parts[i]) AS n FROM (SELECT *, unnest(range(1, len(names) + 1)) AS i FROM cut))),
+annotated AS (SELECT doc_id, passage_idx, {_KIND_SQL} AS entity_type, name, CAST(s AS INT) AS s, CAST(s + length(name) AS INT) AS e FROM laid)"""
+TOKENS_SQL = r"""
+pieces AS (SELECT doc_id, passage_idx, u_start, regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}]') AS w FROM passages),
+tokens AS (SELECT doc_id, passage_idx, i, x, u_start + coalesce(sum(length(x)) OVER (PARTITION BY doc_id, passage_idx ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+           FROM (SELECT doc_id, passage_idx, u_start, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM pieces)),
+told AS (SELECT t.doc_id, t.passage_idx, t.i, t.s, CASE WHEN a.name IS NULL THEN 'O' WHEN t.s = a.s THEN 'B-' || a.entity_type ELSE 'I-' || a.entity_type END AS tag
+         FROM tokens t LEFT JOIN annotated a
+           ON t.doc_id = a.doc_id AND t.passage_idx = a.passage_idx AND t.s >= a.s AND t.s + length(t.x) <= a.e
+         WHERE NOT regexp_matches(t.x, '^[ \t\n\v\f\r]$'))"""
 UNITS_SQL = "units AS (SELECT doc_id, passage_idx AS unit_idx, u_start, CAST(u_start + length(text) AS INT) AS u_end, text FROM passages)"
 SENTENCES_SQL = r"""
 pieces AS (

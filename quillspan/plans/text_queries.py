@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking
-from ..session import shared_dir, ship
+from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking, tagging
+from ..session import materialise, shared_dir, ship
 from . import inputs as I
 from .inputs import with_sql
 
@@ -232,6 +232,34 @@ def ner_prf(spark: SparkSession, d: str) -> DataFrame:
     return out.select("label", "tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
+@query(with_sql("SELECT doc_id, passage_idx, entity_type, name, s, e FROM annotated", I.PASSAGES_SQL, I.ANNOTATED_SQL))
+def annotated_names(spark: SparkSession, d: str) -> DataFrame:
+    """The gold names from which the tagger learns."""
+    return I.annotated(spark, d)
+
+
+@query(
+    with_sql(
+        "SELECT doc_id, passage_idx, count(*) AS n, count_if(tag <> 'O') AS n_named, md5(string_agg(s || ' ' || tag, chr(10) ORDER BY i)) AS tags_md5 FROM told GROUP BY ALL",
+        I.PASSAGES_SQL, I.ANNOTATED_SQL, I.TOKENS_SQL,
+    )
+)
+def token_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Each passage's tokens with the tags that gold names give them."""
+    rows = tagging.tagged(I.article_passages(spark, d), I.annotated(spark, d)).where(F.size("tokens") > 0)
+    lines = F.array_join(F.transform("tokens", lambda x: F.concat_ws(" ", x["s"], x["tag"])), "\n")
+    named = F.size(F.filter("tokens", lambda x: x["tag"] != "O")).cast("long")
+    return rows.select("doc_id", "passage_idx", F.size("tokens").cast("long").alias("n"), named.alias("n_named"), F.md5(lines.cast("binary")).alias("tags_md5"))
+
+
+@query()
+def tagged_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names that a tagger, learned from the documents that were labelled, finds in all documents; tests hold it against all tag paths."""
+    p = I.article_passages(spark, d)
+    known = p.join(I.table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    return tagging.learn_tagger(known, materialise(I.annotated(spark, d))).extract(p)
+
+
 @query(with_sql("SELECT doc_id, passage_idx, entity_type, name, s, e FROM spans WHERE NOT (entity_type = 'species' AND lower(name) = 'und')", *I.TO_SPANS))
 def annotation_remove(spark: SparkSession, d: str) -> DataFrame:
     unwanted = spark.createDataFrame([("species", "UND"), ("genes", "the")], "entity_type string, name string")
