@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking, tagging
+from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking, relation_model, tagging
 from ..session import materialise, shared_dir, ship
 from . import inputs as I
 from .inputs import with_sql
@@ -260,6 +260,17 @@ def tagged_names(spark: SparkSession, d: str) -> DataFrame:
     return tagging.learn_tagger(known, materialise(I.annotated(spark, d))).extract(p)
 
 
+@query()
+def learned_relations(spark: SparkSession, d: str) -> DataFrame:
+    """A relation model learned from the documents that were labelled answers and judges the first two words of each passage in all
+    documents; the tables have no gold relations, so the language of the document is the predicate.  Tests hold the fit against Newton's method."""
+    spoken = I.table(spark, d, "documents").select("doc_id", "lang")
+    words = lambda i: F.get(F.split("text", " "), F.lit(i))
+    p = I.article_passages(spark, d).join(spoken, "doc_id").select("doc_id", "passage_idx", F.col("text").alias("context"), words(0).alias("subj"), words(1).alias("obj"), F.col("lang").alias("actual"))
+    model = relation_model.learn_relations(p.join(I.table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi"))
+    return model.judge()(model.answers(p)).select("doc_id", "passage_idx", "predicate", "justification", "decision")
+
+
 @query(with_sql("SELECT doc_id, passage_idx, entity_type, name, s, e FROM spans WHERE NOT (entity_type = 'species' AND lower(name) = 'und')", *I.TO_SPANS))
 def annotation_remove(spark: SparkSession, d: str) -> DataFrame:
     unwanted = spark.createDataFrame([("species", "UND"), ("genes", "the")], "entity_type string, name string")
