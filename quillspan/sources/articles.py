@@ -18,6 +18,7 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("id", "passage", F.col("_metadata.file_name").alias("file_name"))
 
 
-def stream_articles(spark: SparkSession, path: str) -> DataFrame:
-    """The same for files as they arrive in a folder."""
-    return spark.readStream.schema(ARTICLE).format("xml").option("rowTag", "document").load(path)
+def stream_articles(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """The same for files as they arrive in a folder, ``files`` of them at most in a batch if given."""
+    reader = spark.readStream.schema(ARTICLE).format("xml").option("rowTag", "document")
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).load(path)

@@ -94,3 +94,30 @@ def test_a_batch_that_runs_again_writes_the_same(spark, folder):
     assert go() == ["PMC1", "PMC2"]
     shutil.rmtree(folder / "check" / "commits")
     assert go() == ["PMC1", "PMC2"]
+
+
+def test_state_holds_an_id_each_and_batches_stay_flat(spark, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+
+    def go(checkpoint=check):
+        query = ingest(spark, str(source), out, checkpoint, lambda a: a.select("id"), files=2)
+        query.awaitTermination(120)
+        return query
+
+    for i in range(24):
+        (source / f"a{i}.xml").write_text(ARTICLE.format(id=f"P{i % 20}"))
+    (source / "none.xml").write_text(ARTICLE.format(id="").replace("<id></id>", ""))
+    (source / "none2.xml").write_text(ARTICLE.format(id="").replace("<id></id>", ""))
+    query = go()
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert len(state) == 13 and sum(s["numRowsUpdated"] for s in state) == state[-1]["numRowsTotal"] == 22
+    assert max(s["numRowsUpdated"] for s in state) <= 2  # a batch touches its own ids
+    read = lambda: sorted(str(r["id"]) for r in spark.read.parquet(f"{out}/rows").collect())
+    first = read()
+    assert first == sorted(["None", "None", *[f"P{i}" for i in range(20)]])
+    (source / "again.xml").write_text(ARTICLE.format(id="P3"))
+    go()  # a restart finds the ids
+    assert read() == first
+    go(str(tmp_path / "other"))  # another checkpoint: ids that were taken stay out, rows without one come again
+    assert read() == sorted([*first, "None", "None"])
