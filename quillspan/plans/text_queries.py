@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import annotations, evaluation, mentions, merging, passages, prompts, ranking, relation_model, tagging
+from ..operators import annotations, boundaries, evaluation, mentions, merging, passages, prompts, ranking, relation_model, tagging
 from ..session import materialise, shared_dir, ship
 from . import inputs as I
 from .inputs import with_sql
@@ -260,6 +260,34 @@ def tagged_names(spark: SparkSession, d: str) -> DataFrame:
     return tagging.learn_tagger(known, materialise(I.annotated(spark, d))).extract(p)
 
 
+_WORD_SQL = "regexp_replace(lower({0}), '\\.$', '')"
+_BARE_SQL = f"regexp_replace(t, '{boundaries.EDGES.replace(chr(39), chr(39) * 2)}', '', 'g')"
+_CHANCE_SQL = "(CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0 END + CASE WHEN {n} > {k} THEN ({n} - {k}) * ln(1 - {p}) ELSE 0 END)"
+
+
+@query(
+    f"""WITH split AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split_regex(text, '\\s+') AS w FROM documents)),
+       bare AS (SELECT doc_id, i, {_BARE_SQL} AS t FROM split), told AS (SELECT doc_id, i, {_WORD_SQL.format("t")} AS word, t LIKE '%.' AS dotted FROM bare),
+       words AS (SELECT word, count(*) AS n, count_if(dotted) AS k FROM told WHERE regexp_matches(word, '[\\p{{L}}\\p{{N}}]') GROUP BY 1),
+       shaped AS (SELECT word, n, k, CAST(sum(k) OVER () AS DOUBLE) / sum(n) OVER () AS p, length(regexp_replace(word, '[^.]', '', 'g')) AS stops, CAST(length(word) AS DOUBLE) AS size FROM words)
+       SELECT word, n, k AS n_dotted,
+              round(2 * ({_CHANCE_SQL.format(k="k", n="n", p=boundaries.SURE)} - {_CHANCE_SQL.format(k="k", n="n", p="p")}) * exp(stops - size) * (stops + 1) * pow(size - stops, k - n), 6) + 0.0 AS score
+       FROM shaped WHERE k > 0 AND NOT regexp_matches(word, '^\\p{{N}}')"""
+)
+def abbreviation_scores(spark: SparkSession, d: str) -> DataFrame:
+    """How much each dotted word of the documents is like an abbreviation."""
+    found = boundaries.abbreviation_scores(materialise(boundaries.neighbours(I.table(spark, d, "documents"))))
+    return found.withColumns({"score": F.round("score", 6) + F.lit(0.0), "n_dotted": F.col("n_dotted").cast("long")})
+
+
+@query()
+def learned_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences of all passages, cut where ends learned from all documents say so; tests hold the ratios against plain Python."""
+    model = boundaries.learn_boundaries(I.table(spark, d, "documents"))
+    rows = boundaries.split_sentences(I.article_passages(spark, d), model)
+    return rows.select("doc_id", "passage_idx", F.explode("sentences").alias("x")).select("doc_id", "passage_idx", "x.*")
+
+
 @query()
 def learned_relations(spark: SparkSession, d: str) -> DataFrame:
     """A relation model learned from the documents that were labelled answers and judges the first two words of each passage in all
