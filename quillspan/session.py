@@ -61,10 +61,12 @@ def spread(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees (spark.checkpoint.dir); one of our own only where the session names none."""
+    """The folder that every executor sees (spark.checkpoint.dir); one of our own only where a local session names none."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="quillspan-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
