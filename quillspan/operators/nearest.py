@@ -4,6 +4,10 @@ The terms of a space are dealt to cells around k-means centres, each with the ra
 first visits the cell of the nearest centre; with the best term found there, the triangle inequality rules out each cell
 whose centre is farther than the best distance and its radius together.  The cells that are left are visited, too, so
 the result is that of comparing everything with everything, ties included.
+
+For the second visits cells stand on shelves and entities in blocks, both as large as a task can hold; each block meets
+each shelf of its space once, and cells are ruled out there.  So vectors travel as often as there are shelves and blocks,
+which is no more where nothing can be ruled out.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship, written
@@ -22,6 +26,9 @@ WHOLE = 1024  # spaces of so many terms are one cell
 MOST_CELLS = 4096
 SAMPLED = 8  # packs of a space that its centres are fitted on
 SLACK = 1e-6  # of distance, for rounding
+TIE = 1e-13  # of cosine: what is closer is equal
+TASK = 1 << 23  # numbers of the vectors of a shelf, and of a block of entities
+SPLIT = 8  # blocks that the entities of a space are dealt to if they are some thousands
 NONE = np.iinfo(np.int64).min
 
 
@@ -84,37 +91,23 @@ def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _route(first: bool):
-    """Which cells the entities of a pack visit: the nearest, or else all that are not ruled out by the best so far."""
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["space", "entity_id", "best", "flat", "centres", "cells", "cell", "radius", "chunks"]
-        for batch in batches:
-            for space, ids, best, flat, centres, cells, cell, radius, chunks in zip(*(batch.column(c) for c in names), strict=True):
-                n = len(ids)
-                raw = flat.values.to_numpy().reshape(n, -1)
-                far = _far(_unit(flat.values, n), centres.values.to_numpy().reshape(cells.as_py(), -1))
-                there, radius, chunks = (np.array(x.as_py()) for x in (cell, radius, chunks))
-                far = far[:, there]  # cells that hold terms
-                nearest = far.argmin(1)
-                if first:
-                    visit = nearest[:, None] == np.arange(len(there))[None]
-                else:
-                    best = best.values.to_numpy(zero_copy_only=False)
-                    reach = np.where(np.isnan(best), np.inf, np.sqrt(np.maximum(2 - 2 * best, 0)))
-                    visit = (far - radius[None] <= reach[:, None] + SLACK) & (nearest[:, None] != np.arange(len(there))[None])
-                out = []
-                for k in np.flatnonzero(visit.any(0)).tolist():
-                    who = np.flatnonzero(visit[:, k])
-                    mine, own = raw[who].ravel().tolist(), ids.values.take(pa.array(who)).to_pylist()
-                    out += [(space.as_py(), int(there[k]), c, own, mine) for c in range(int(chunks[k]))]
-                    if len(out) >= 64:
-                        yield _visits(out, space.type)
-                        out = []
-                if out:
+def _route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entities of a pack to the first chunk of the nearest cell."""
+    names = ["space", "entity_id", "flat", "centres", "cells", "cell"]
+    for batch in batches:
+        for space, ids, flat, centres, cells, cell in zip(*(batch.column(c) for c in names), strict=True):
+            n = len(ids)
+            raw, there = flat.values.to_numpy().reshape(n, -1), np.array(cell.as_py())
+            far = _far(_unit(flat.values, n), centres.values.to_numpy().reshape(cells.as_py(), -1))
+            nearest, out = far[:, there].argmin(1), []  # of the cells that hold terms
+            for k in np.unique(nearest).tolist():
+                who = np.flatnonzero(nearest == k)
+                out.append((space.as_py(), int(there[k]), 0, ids.values.take(pa.array(who)).to_pylist(), raw[who].ravel().tolist()))
+                if len(out) >= 64:
                     yield _visits(out, space.type)
-
-    return route
+                    out = []
+            if out:
+                yield _visits(out, space.type)
 
 
 def _visits(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -122,22 +115,75 @@ def _visits(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["space", "cell", "chunk", "entity_id", "mine"])
 
 
+class _Best:
+    """The best term so far of some entities (ids, vectors of length 1 or 0), the first of equals."""
+
+    def __init__(self, ids: np.ndarray, unit: np.ndarray):
+        self.ids, self.unit, self.zero = ids, unit, ~unit.any(1)
+        self.order = np.argsort(ids, kind="stable")
+        self.sorted = ids[self.order]
+        self.score, self.row, self.pairs = np.full(len(ids), -np.inf), np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+
+    def compare(self, who: np.ndarray, rows: np.ndarray, banned: np.ndarray, unit: np.ndarray) -> None:
+        """Entities ``who`` (ascending) with terms by ascending row_idx."""
+        none = ~unit.any(1)
+        first, last = np.searchsorted(self.sorted, banned, "left"), np.searchsorted(self.sorted, banned, "right")
+        out = [(at, c) for c in np.flatnonzero((last > first) & (banned != NONE)).tolist() for at in self.order[first[c] : last[c]].tolist()]
+        barred, terms = np.array(sorted(out), np.int64).reshape(-1, 2), unit.T
+        for some in np.split(who, range(0, len(who), max(1, (1 << 22) // len(rows)))[1:]):
+            score = self.unit[some] @ terms
+            score[:, none] = -np.inf
+            mine = barred[np.searchsorted(barred[:, 0], some[0]) : np.searchsorted(barred[:, 0], some[-1], "right")] if len(some) else barred[:0]
+            mine = mine[np.isin(mine[:, 0], some)]
+            score[np.searchsorted(some, mine[:, 0]), mine[:, 1]] = -np.inf
+            top = score.max(1)
+            row = rows[(score >= (top - TIE)[:, None]).argmax(1)]
+            had, was = self.score[some], self.row[some]
+            with np.errstate(invalid="ignore"):
+                better = np.isfinite(top) & ~self.zero[some] & ((top > had + TIE) | ((top >= had - TIE) & (row < was)))
+            self.score[some[better]], self.row[some[better]] = top[better], row[better]
+            self.pairs[some] += len(rows)
+
+    def found(self, space, kind: pa.DataType, cell: int | None = None) -> pa.Table:
+        ok = np.isfinite(self.score)
+        n = int(ok.sum())
+        columns = [pa.array(self.ids[ok], pa.int64()), pa.array([space] * n, kind), pa.array(self.row[ok]), pa.array(self.score[ok]), pa.array(self.pairs[ok]), pa.array([cell] * n, pa.int32())]
+        return pa.table(columns, ["entity_id", "space", "row_idx", "score", "pairs", "near"])
+
+
+def _banned(values: list) -> np.ndarray:
+    return np.array([NONE if x is None else x for x in values], np.int64)
+
+
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The best term of a chunk for each entity that visits it, the first of equals; ``pairs`` counts what was compared."""
     for batch in batches:
-        for space, ids, mine, rows, banned, flat in zip(*(batch.column(c) for c in ("space", "entity_id", "mine", "row_idx", "not_for", "flat")), strict=True):
-            ids, rows = np.array(ids.as_py()), np.array(rows.as_py())
-            a, b = mine.values.to_numpy().reshape(len(ids), -1), flat.values.to_numpy().reshape(len(rows), -1)
-            length = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                score = np.where(length > 0, (a @ b.T) / length, -np.inf)
-            out = np.array([NONE if x is None else x for x in banned.as_py()])
-            score[ids[:, None] == out[None, :]] = -np.inf
-            best = score.argmax(axis=1)
-            top = score[np.arange(len(ids)), best]
-            ok = np.isfinite(top)
-            pairs = np.full(int(ok.sum()), len(rows), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok], pa.int64()), pa.array([space.as_py()] * int(ok.sum()), space.type), pa.array(rows[best][ok], pa.int64()), pa.array(top[ok]), pa.array(pairs)], ["entity_id", "space", "row_idx", "score", "pairs"])
+        for space, cell, ids, mine, rows, banned, flat in zip(*(batch.column(c) for c in ("space", "cell", "entity_id", "mine", "row_idx", "not_for", "flat")), strict=True):
+            best = _Best(np.array(ids.as_py()), _unit(mine.values, len(ids)))
+            best.compare(np.arange(len(ids)), np.array(rows.as_py()), _banned(banned.as_py()), _unit(flat.values, len(rows)))
+            yield from best.found(space.as_py(), space.type, cell.as_py()).to_batches()
+
+
+def _meet(key: tuple, entities: pa.Table, shelf: pa.Table) -> pa.Table:
+    """A block of entities with a shelf: each chunk is ruled out or compared, but the one that an entity has seen."""
+    kind = entities.schema.field("space").type
+    ids = np.concatenate([np.zeros(0, np.int64), *[x.values.to_numpy() for x in entities.column("entity_id")]])
+    if not len(ids) or not shelf.num_rows:
+        return _Best(ids[:0], np.zeros((0, 1))).found(None, kind)
+    known = np.concatenate([x.values.to_numpy(zero_copy_only=False) for x in entities.column("best")]).astype(float)
+    seen = np.concatenate([x.values.to_numpy(zero_copy_only=False) for x in entities.column("near")]).astype(float)
+    best = _Best(ids, np.concatenate([_unit(x.values, len(r)) for x, r in zip(entities.column("flat"), entities.column("entity_id"), strict=True)]))
+    reach = np.where(np.isnan(known), np.inf, np.sqrt(np.maximum(2 - 2 * known, 0))) + SLACK
+    for cell, chunk, rows, banned, flat in zip(*(shelf.column(c) for c in ("cell", "chunk", "row_idx", "not_for", "flat")), strict=True):
+        unit = _unit(flat.values, len(rows))
+        centre = unit.mean(0, keepdims=True)
+        near = _far(best.unit, centre)[:, 0] - _far(unit, centre).max() <= reach
+        if chunk.as_py() == 0:
+            near &= seen != cell.as_py()
+        who = np.flatnonzero(near)
+        if len(who):
+            best.compare(who, np.array(rows.as_py()), _banned(banned.as_py()), unit)
+    return best.found(key[0].as_py(), kind)
 
 
 def nearest_terms(entities: DataFrame, terms: DataFrame, counted: bool = False) -> DataFrame:
@@ -147,7 +193,7 @@ def nearest_terms(entities: DataFrame, terms: DataFrame, counted: bool = False)
     entities: entity_id, space, vec; terms: row_idx, space, vec, and not_for (an entity_id that the term may not be
     matched with, or null).  Rows without a space or a vector, and vectors of length 0, match nothing.  Centres are
     fitted on some thousand terms of a space, cells hold all; a cell of many terms is met in chunks, so neither a
-    space nor a cell is one key.
+    space nor a cell is one key.  Vectors are shuffled as often as a space has shelves (entities) or blocks (terms).
     """
     ship(entities.sparkSession)
     kind = dict(terms.dtypes)["space"]
@@ -161,17 +207,28 @@ def nearest_terms(entities: DataFrame, terms: DataFrame, counted: bool = False)
     chunks = dealt.groupBy("space", "cell", "chunk").agg(F.sort_array(F.collect_list(F.struct("row_idx", "not_for", "vec"))).alias("rows"))
     chunks = written(chunks.select("space", "cell", "chunk", F.col("rows.row_idx").alias("row_idx"), F.col("rows.not_for").alias("not_for"), F.flatten("rows.vec").alias("flat")))
 
-    def visit(rows: DataFrame, first: bool) -> DataFrame:
-        routed = _packs(rows, "entity_id", "entity_id", "best").join(index, "space").mapInArrow(_route(first), f"space {kind}, cell int, chunk int, entity_id array<long>, mine array<double>")
-        met = routed.join(chunks, ["space", "cell", "chunk"]).select("space", "entity_id", "mine", "row_idx", "not_for", "flat")
-        return met.mapInArrow(_match, f"entity_id long, space {kind}, row_idx long, score double, pairs long")
-
-    def best_of(found: DataFrame) -> DataFrame:
-        best = found.groupBy("entity_id", "space").agg(F.max(F.struct("score", (-F.col("row_idx")).alias("row"))).alias("b"), F.sum("pairs").alias("pairs"))
-        return best.select("entity_id", "space", (-F.col("b.row")).alias("row_idx"), F.col("b.score").alias("score"), "pairs")
-
+    result = f"entity_id long, space {kind}, row_idx long, score double, pairs long, near int"
     asked = entities.where("vec IS NOT NULL AND space IS NOT NULL").select("entity_id", "space", "vec")
-    start = written(best_of(visit(asked.withColumn("best", F.lit(None).cast("double")), True)))
-    again = asked.join(start.select("entity_id", "space", F.col("score").alias("best")), ["entity_id", "space"], "left")
-    out = best_of(start.unionByName(visit(again, False)))
-    return out if counted else out.drop("pairs")
+    routed = _packs(asked, "entity_id", "entity_id").join(index, "space").mapInArrow(_route, f"space {kind}, cell int, chunk int, entity_id array<long>, mine array<double>")
+    met = routed.join(chunks, ["space", "cell", "chunk"]).select("space", "cell", "entity_id", "mine", "row_idx", "not_for", "flat")
+    start = written(met.mapInArrow(_match, result).groupBy("entity_id", "space").agg(*_least()))
+
+    # all blocks with all shelves
+    again = asked.join(start.select("entity_id", "space", F.col("score").alias("best"), "near"), ["entity_id", "space"], "left")
+    blocks = written(_packs(again, "entity_id", "entity_id", "best", "near"))
+    parts = lambda name: F.ceil(F.sum(F.size("flat").cast("long")) / TASK).cast("int").alias(name)
+    shelves = chunks.groupBy("space").agg(parts("shelves"))
+    deals = blocks.groupBy("space").agg(F.greatest(parts("n"), F.least(F.lit(SPLIT), F.count("*"))).cast("int").alias("deals"))
+    sizes = written(shelves.join(deals, "space"))
+    left = blocks.join(sizes, "space").withColumns({"deal": F.pmod("pack", "deals").cast("int"), "shelf": F.explode(F.sequence(F.lit(0), F.col("shelves") - 1))})
+    right = chunks.join(sizes, "space").withColumns({"shelf": F.pmod(F.xxhash64("cell", "chunk"), "shelves").cast("int"), "deal": F.explode(F.sequence(F.lit(0), F.col("deals") - 1))})
+    left = left.select("space", "shelf", "deal", "entity_id", "best", "near", "flat").groupBy("space", "shelf", "deal")
+    right = right.select("space", "shelf", "deal", "cell", "chunk", "row_idx", "not_for", "flat").groupBy("space", "shelf", "deal")
+    out = start.unionByName(left.cogroup(right).applyInArrow(_meet, result)).groupBy("entity_id", "space").agg(*_least())
+    return out.select("entity_id", "space", "row_idx", "score", *(["pairs"] if counted else []))
+
+
+def _least() -> list[Column]:
+    """The best score, the first row that has it, and how many were compared."""
+    top = F.max_by(F.struct("score", "row_idx"), F.struct(F.round("score", 12), -F.col("row_idx")))
+    return [top["row_idx"].alias("row_idx"), top["score"].alias("score"), F.sum("pairs").alias("pairs"), F.max("near").alias("near")]

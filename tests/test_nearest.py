@@ -69,3 +69,25 @@ def test_few_of_the_pairs_are_compared(spark):
 def test_empty(spark):
     a, b = frames(spark, [(1, "x", [1.0])], [(1, "x", [1.0], None)])
     assert nearest.nearest_terms(a.limit(0), b).count() == 0 and nearest.nearest_terms(a, b.limit(0)).count() == 0
+
+
+def test_blocks_and_shelves(spark, monkeypatch):
+    """Where nothing can be ruled out, vectors go to each shelf once, not to each cell; bans and equal terms hold across shelves."""
+    monkeypatch.setattr(nearest, "WHOLE", 50)
+    monkeypatch.setattr(nearest, "BLOCK", 32)
+    monkeypatch.setattr(nearest, "TASK", 150 * 12)
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(600, 12))
+    vectors[400:420] = vectors[5]
+    rows = [(int(i), "s", v) for i, v in enumerate(vectors)]
+    terms = [(*x, x[0]) for x in rows]
+    sent, meet = spark.sparkContext.accumulator(0), nearest._meet
+
+    def counted(key, entities, shelf):
+        sent.add(sum(len(x) for x in entities.column("entity_id")))
+        return meet(key, entities, shelf)
+
+    monkeypatch.setattr(nearest, "_meet", counted)
+    got = {(r["entity_id"], r["space"]): (r["row_idx"], r["pairs"]) for r in nearest.nearest_terms(*frames(spark, rows, terms), counted=True).collect()}
+    assert {k: row for k, (row, _) in got.items()} == {k: row for k, (row, _) in plain(rows, terms).items()}
+    assert sent.value == 600 * 4 and sum(p for _, p in got.values()) > 600 * 400  # four shelves, some twenty-five cells
