@@ -86,3 +86,23 @@ def test_more_labels_than_a_thousand(spark):
     out = evaluation.confusion(outcomes)
     assert out.count() == 1101**2 and out.agg(F.sum("n")).first()[0] == 1101
     assert out.where("n > 0").count() == 1101
+
+
+@pytest.mark.parametrize("circles", [False, True])
+def test_paths_in_stretches(spark, monkeypatch, circles):
+    """Pairs are put together from rows of paths, which many nodes ask for: no pair is written."""
+    monkeypatch.setattr(hierarchy, "STRETCH", 4)
+    monkeypatch.setattr(hierarchy, "ASKING", 8)
+    pairs = [*forest(400, 3), *((2000 + i, 2000 + (i + 1) % 5) for i in range(5)), *((3000 + i, 2000 if i == 0 else 2999 + i) for i in range(9))][: None if circles else 400]
+    rows, write = [], hierarchy.written
+
+    def watched(df):
+        out = write(df)
+        if "ancestor" in df.columns:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(hierarchy, "written", watched)
+    found = [tuple(r) for r in hierarchy.ancestors(tree(spark, pairs)).collect()]
+    assert len(found) == len(set(found)) and set(found) == plain(pairs)
+    assert max(rows, default=0) <= (14 * 14 if circles else 0)
