@@ -106,3 +106,11 @@ def test_paths_in_stretches(spark, monkeypatch, circles):
     found = [tuple(r) for r in hierarchy.ancestors(tree(spark, pairs)).collect()]
     assert len(found) == len(set(found)) and set(found) == plain(pairs)
     assert max(rows, default=0) <= (14 * 14 if circles else 0)
+
+
+def test_no_table_of_nodes_passes_through_the_driver(spark, monkeypatch):
+    plans, write = [], hierarchy.written
+    monkeypatch.setattr(hierarchy, "written", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or write(df))
+    out = hierarchy.intervals(tree(spark, forest(60, 2)))
+    plans.append(out._jdf.queryExecution().sparkPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
