@@ -16,6 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.words import Words, crc32_each, stretches
 from ..schemas import NO_RELATION
 from ..session import materialise, ship
 from .training import minimise, partition_sum
@@ -50,9 +51,73 @@ def buckets(names: list[str], n: int) -> np.ndarray:
     return np.array([zlib.crc32(x.encode("utf-8", "replace")) % n for x in names], np.int32)
 
 
-def _logits(at: list[np.ndarray], w: np.ndarray) -> np.ndarray:
-    starts = np.cumsum([0, *[len(x) for x in at[:-1]]])
-    return np.add.reduceat(w[np.concatenate(at)], starts, axis=0)
+@dataclass
+class Hashed:
+    """The features of some pairs, as features() and buckets() tell them one by one."""
+
+    words: Words
+    row: np.ndarray  # of each feature that is of a word, in their order
+    at: np.ndarray  # its bucket
+    word: np.ndarray  # its word
+    double: np.ndarray  # whether it is of the word before, too
+    all_row: np.ndarray  # of each distinct bucket of a pair, those without a word too
+    all_at: np.ndarray
+
+    @staticmethod
+    def of(contexts: list[str | None], subjects: list[str | None], objects: list[str | None], n: int) -> Hashed:
+        """All pairs at once: some numbers for each character are in memory, so longer batches are cut by stretches() first."""
+        texts = [(c or "").lower() for c in contexts]
+        words, rows = Words.of(texts), len(texts)
+        places, orders = np.full((2, rows), 1 << 40), []
+        lengths, who = np.zeros((2, rows), np.int64), np.zeros((2, rows), np.int64)
+        for i, (text, subject, obj) in enumerate(zip(texts, subjects, objects, strict=True)):
+            names = [(text.find(x), len(x), w) for x, w in (((subject or "").lower(), "S"), ((obj or "").lower(), "O")) if x]
+            found = sorted(x for x in names if x[0] >= 0)
+            for k, (at, size, w) in enumerate(found):
+                places[k, i], lengths[k, i], who[k, i] = at, size, 1 if w == "S" else 2
+            orders.append("order " + "".join(w for _, _, w in found))
+        place, row = words.s - words.begin[words.row], words.row
+        after = [place >= places[k][row] for k in (0, 1)]
+        within = [after[k] & (place < (places[k] + lengths[k])[row]) for k in (0, 1)]
+        name = np.where(within[0], who[0][row], np.where(within[1], who[1][row], 0))
+        data = np.concatenate([words.data, np.frombuffer(b"SO ", np.uint8)])
+        end = len(words.data)
+        at, size = np.where(name > 0, end + name - 1, words.at), np.where(name > 0, 1, words.size)
+        own = np.flatnonzero(name == 0)
+        second = np.flatnonzero((row[1:] == row[:-1]) & ~((name[1:] > 0) & (name[1:] == name[:-1]))) + 1
+        told = np.zeros((len(row), 3), np.int64)
+        told[own, 0] = crc32_each(data, at[own], size[own], zlib.crc32(b"w "))
+        whence = np.array([zlib.crc32(x) for x in (b"0 ", b"1 ", b"2 ")], np.uint32)
+        told[own, 1] = crc32_each(data, at[own], size[own], whence[(after[0].astype(np.int8) + after[1])[own]])
+        first = crc32_each(data, at[second - 1], size[second - 1], zlib.crc32(b"2 "))
+        first = crc32_each(data, np.full(len(second), end + 2), np.ones(len(second), np.int64), first)
+        told[second, 2] = crc32_each(data, at[second], size[second], first)
+        there = np.zeros((len(row), 3), bool)
+        there[own, :2], there[second, 2] = True, True
+        word, kind = np.nonzero(there)
+        bucket, of = told[word, kind] % n, row[word]
+        known = {x: zlib.crc32(x.encode()) % n for x in {"*", *orders}}
+        every = np.arange(rows) * n
+        keys = np.sort(np.concatenate([of * n + bucket, every + known["*"], every + np.array([known[x] for x in orders], np.int64)]))
+        keys = keys[np.append(True, keys[1:] != keys[:-1])]  # np.unique hashes, which takes ten times as long
+        return Hashed(words, of, bucket, word, kind == 2, keys // n, keys % n)
+
+    def said(self, i: int) -> str:
+        """The part of the context that a feature is of."""
+        w, k = self.words, self.word[i]
+        last = w.joined[w.s[k] : w.e[k]]
+        return f"{w.joined[w.s[k - 1] : w.e[k - 1]]} {last}" if self.double[i] else last
+
+
+def _logits(at: np.ndarray, sizes: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The summed weights of pairs whose buckets, one at least, follow each other."""
+    starts = np.cumsum(sizes) - sizes
+    return np.stack([np.add.reduceat(one[at], starts) for one in np.ascontiguousarray(w.T)], 1)
+
+
+def _entries(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all rows, and how many each has."""
+    return np.frombuffer(b"".join(frame["at"]), np.int32).astype(np.intp), np.fromiter(map(len, frame["at"]), np.int64, len(frame)) // 4
 
 
 def _log_shares(x: np.ndarray) -> np.ndarray:
@@ -62,13 +127,11 @@ def _log_shares(x: np.ndarray) -> np.ndarray:
 
 def _loss(frame: pd.DataFrame, w: np.ndarray) -> np.ndarray:
     """Loss and its gradient, one after the other."""
-    at = [np.unique(np.frombuffer(x, np.int32)) for x in frame["at"]]
-    told, row = frame["label"].to_numpy(), np.arange(len(frame))
-    log_share = _log_shares(_logits(at, w))
+    (flat, sizes), told, row = _entries(frame), frame["label"].to_numpy(), np.arange(len(frame))
+    log_share = _log_shares(_logits(flat, sizes, w))
     share = np.exp(log_share)
     share[row, told] -= 1
-    flat, sizes = np.concatenate(at), [len(x) for x in at]
-    grad = np.stack([np.bincount(flat, np.repeat(share[:, c], sizes), len(w)) for c in range(w.shape[1])], 1)
+    grad = np.stack([np.bincount(flat, np.repeat(one, sizes), len(w)) for one in np.ascontiguousarray(share.T)], 1)
     return np.concatenate([[-log_share[row, told].sum()], grad.ravel()])
 
 
@@ -105,26 +168,35 @@ class RelationModel:
     def _asked(self, pairs: DataFrame, allowed: dict[str, list[str]] | None, given: str | None = None):
         spark = pairs.sparkSession
         ship(spark)
-        sent, labels, scale = spark.sparkContext.broadcast(self.weights), self.labels, self.scale
+        sent, labels, scale, number = spark.sparkContext.broadcast(self.weights), self.labels, self.scale, {x: i for i, x in enumerate(self.labels)}
         masks = {k: np.array([0.0 if x == NO_RELATION or x in v else -np.inf for x in labels]) for k, v in (allowed or {}).items()}
 
         @F.pandas_udf(_ANSWER)
         def ask(contexts: pd.Series, subjects: pd.Series, objects: pd.Series, groups: pd.Series, told: pd.Series) -> pd.DataFrame:
-            w, out = sent.value, []
-            for context, subject, obj, group, known in zip(contexts, subjects, objects, groups, told, strict=True):
-                named = features(context, subject, obj)
-                keys = list(named)
-                at = buckets(keys, len(w))
-                score = w[np.unique(at)].sum(0) * scale
-                if group in masks and np.isfinite(masks[group]).any():
-                    score = score + masks[group]
-                share = np.exp(_log_shares(score[None])[0])
-                best = int(share.argmax())
-                lead = w[at, best] - w[at].mean(1)
-                word = max((i for i, k in enumerate(keys) if named[k]), key=lambda i: lead[i], default=None)
-                out.append((labels[best], "" if word is None else named[keys[word]], share[best], share[labels.index(known)] if known in labels else None))
+            w, lists = sent.value, [x.tolist() for x in (contexts, subjects, objects, groups, told)]
+            out = [y for part in stretches([c or "" for c in lists[0]]) for y in answered(w, *[x[part] for x in lists])]
             return pd.DataFrame(out, columns=["predicate", "justification", "probability", "given"], index=contexts.index)
 
+        def answered(w: np.ndarray, contexts: list, subjects: list, objects: list, groups: list, told: list) -> list[tuple]:
+            h, rows = Hashed.of(contexts, subjects, objects, len(w)), np.arange(len(contexts))
+            score = _logits(h.all_at, np.bincount(h.all_row, minlength=len(rows)), w) * scale
+            for i, group in enumerate(groups if masks else []):
+                if group in masks and np.isfinite(masks[group]).any():
+                    score[i] += masks[group]
+            share = np.exp(_log_shares(score))
+            best = share.argmax(axis=1)
+            why = {}
+            if given is None:  # a judge needs no justification
+                lead, most = w[h.at, best[h.row]] - w.mean(axis=1)[h.at], np.full(len(rows), -np.inf)
+                np.maximum.at(most, h.row, lead)
+                first = np.flatnonzero(lead == most[h.row])
+                spoken, where = np.unique(h.row[first], return_index=True)
+                why = dict(zip(spoken.tolist(), first[where].tolist(), strict=True))
+            return [
+                (labels[c], h.said(why[i]) if i in why else "", share[i, c], share[i, number[known]] if known in number else None)
+                for i, (c, known) in enumerate(zip(best.tolist(), told, strict=True))
+            ]
+
         none = F.lit(None).cast("string")
         return ask("context", "subj", "obj", F.col("category").cast("string") if masks else none, F.col(given) if given else none)
 
@@ -143,13 +215,16 @@ def learn_relations(gold: DataFrame, l2: float = 1.0, rounds: int = 60, n: int =
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = [
-                (buckets(list(features(r.context, r.subj, r.obj)), n).tobytes(), number[r.actual], zlib.crc32((r.context or "").encode("utf-8", "replace")) % 5 == 0)
-                for r in frame.itertuples(index=False)
-            ]
-            yield pd.DataFrame(out, columns=["at", "label", "aside"])
-
-    rows = materialise(known.mapInPandas(measure, "at binary, label int, aside boolean"))
+            lists = [frame[c].tolist() for c in ("context", "subj", "obj")]
+            for part in stretches([c or "" for c in lists[0]]):
+                h, texts = Hashed.of(*[x[part] for x in lists], n), lists[0][part]
+                ends, flat = np.cumsum(4 * np.bincount(h.all_row, minlength=len(texts))).tolist(), h.all_at.astype(np.int32).tobytes()
+                at = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                aside = [zlib.crc32((c or "").encode("utf-8", "replace")) % 5 == 0 for c in texts]
+                yield pd.DataFrame({"at": at, "label": [number[x] for x in frame["actual"].iloc[part]], "aside": aside})
+
+    hashed = known.mapInPandas(measure, "at binary, label int, aside boolean")
+    rows = materialise(hashed.repartition(spark.sparkContext.defaultParallelism))  # each round has so many sums, however long the input is
     size, k = n * len(labels), len(labels)
 
     def value(w: np.ndarray) -> tuple[float, np.ndarray]:
@@ -162,7 +237,7 @@ def learn_relations(gold: DataFrame, l2: float = 1.0, rounds: int = 60, n: int =
     sent = spark.sparkContext.broadcast(w.reshape(n, k))
 
     def spread_of(frame: pd.DataFrame, power: float) -> np.ndarray:
-        score = _logits([np.unique(np.frombuffer(x, np.int32)) for x in frame["at"]], sent.value)
+        score = _logits(*_entries(frame), sent.value)
         told, row = frame["label"].to_numpy(), np.arange(len(frame))
         log_share = _log_shares(score * np.exp(power))
         slope = np.exp(power) * ((np.exp(log_share) * score).sum() - score[row, told].sum())

@@ -105,3 +105,29 @@ def test_without_gold(spark):
     model = relation_model.learn_relations(spark.createDataFrame([], KINDS), n=64)
     pairs = spark.createDataFrame(made_up(random.Random(3), 3), KINDS)
     assert {r.predicate for r in model.answers(pairs).collect()} == {NO_RELATION}
+
+
+def test_features_of_whole_batches():
+    """Buckets and justifications of many pairs at once are those of single pairs."""
+    rng = random.Random(7)
+    odd = [(None, None, None), ("", "", ""), ("İİ x İ y", "İ", "x"), ("Öl öl ÖL, ß2 ﬁ 9 𝔘𝔫𝔡", "öl", "𝔫"), ("a" * 500 + " b", "b", "a"), ("ab ab abab", "ab", "bab"), ("s o S O", "o", "s"), ("x\ny", "x", "x"), ("...", "x", ".")]
+    pairs = odd + [tuple(r[1:4]) for r in made_up(rng, 200)] + [(" ".join(rng.choices(["ab", "cd", "é", "ab-cd", "the"], k=rng.randint(0, 9))), rng.choice(["ab", "cd", "a", ""]), rng.choice(["ab-cd", "é", "d"])) for _ in range(300)]
+    h = relation_model.Hashed.of(*map(list, zip(*pairs, strict=True)), 1 << 15)
+    for i, pair in enumerate(pairs):
+        named = relation_model.features(*pair)
+        assert h.all_at[h.all_row == i].tolist() == sorted(set(relation_model.buckets(list(named), 1 << 15).tolist()))
+        said = {}
+        for j in np.flatnonzero(h.row == i):
+            said.setdefault(int(h.at[j]), h.said(j))
+        want = {}
+        for key, text in named.items():
+            if text:
+                want.setdefault(int(relation_model.buckets([key], 1 << 15)[0]), text)
+        assert said == want
+
+
+def test_sums_do_not_grow_with_the_partitions(spark, monkeypatch):
+    parts, add = [], relation_model.partition_sum
+    monkeypatch.setattr(relation_model, "partition_sum", lambda rows, *a: parts.append(rows.rdd.getNumPartitions()) or add(rows, *a))
+    relation_model.learn_relations(spark.createDataFrame(made_up(random.Random(3), 90), KINDS).repartition(60), n=64, rounds=2)
+    assert max(parts) <= spark.sparkContext.defaultParallelism
