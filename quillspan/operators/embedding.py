@@ -15,10 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.words import Words, stretches
 from ..session import materialise, ship
 
 PIECES, CONTEXTS = 1 << 15, 1 << 11
@@ -43,12 +45,18 @@ def pieces(word: Column, n: int = PIECES) -> Column:
     return F.array_distinct(F.transform(F.array_append(grams, marked), lambda x: _bucket(x, n)))
 
 
-@lru_cache(1 << 16)
+def _md5_bucket(text: str, n: int) -> int:
+    return int(hashlib.md5(text.encode("utf-8", "replace")).hexdigest()[:8], 16) % n
+
+
+_gram_bucket, _context_bucket = lru_cache(1 << 16)(_md5_bucket), lru_cache(1 << 17)(_md5_bucket)
+
+
+@lru_cache(1 << 17)
 def _word_buckets(word: str, n: int) -> tuple[int, ...]:
     """What pieces() gives, for Python tasks."""
     marked = f"<{word}>"
-    found = [marked[i : i + 3] for i in range(len(word))] + [marked]
-    return tuple(dict.fromkeys(int(hashlib.md5(x.encode("utf-8", "replace")).hexdigest()[:8], 16) % n for x in found))
+    return tuple(dict.fromkeys([*[_gram_bucket(marked[i : i + 3], n) for i in range(len(word))], _md5_bucket(marked, n)]))
 
 
 def _buckets(name: str, n: int) -> list[int]:
@@ -56,21 +64,61 @@ def _buckets(name: str, n: int) -> list[int]:
 
 
 def cooccurrence(texts: DataFrame, column: str = "text", window: int = 2, n_pieces: int = PIECES, n_contexts: int = CONTEXTS) -> DataFrame:
-    """piece, context and n: how often a word of the piece has a word of the context at most ``window`` places away."""
-    listed = texts.select(words(F.col(column)).alias("w"))
-    last = F.size("w")
-
-    def apart(d: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), last - d), lambda i: F.struct(F.get("w", i - 1).alias("a"), F.get("w", i - 1 + d).alias("b")))
-
-    none = F.array().cast("array<struct<a:string,b:string>>")
-    met = F.concat(*[F.when(last > d, apart(d)).otherwise(none) for d in range(1, window + 1)])
-    pairs = listed.select(F.explode(met).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
-    both = pairs.select(F.explode(F.array(F.struct("a", "b", "n"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "n"))).alias("p"))
-    by_word = both.groupBy(F.col("p.a").alias("word"), _bucket(F.col("p.b"), n_contexts).alias("context")).agg(F.sum("p.n").alias("n"))
-    around = by_word.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("around"))  # n_contexts at most; so a word is hashed once
-    spread = around.select(F.explode(pieces(F.col("word"), n_pieces)).alias("piece"), "around").select("piece", F.explode("around").alias("x"))
-    return spread.groupBy("piece", "x.context").agg(F.sum("x.n").alias("n"))
+    """piece, context and n: how often a word of the piece has a word of the context at most ``window`` places away.
+
+    Each task counts its texts into a matrix of n_pieces times n_contexts numbers (268 MB of Python's memory as they are by default), so pairs of
+    words are neither rows nor shuffled.
+    """
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held = np.zeros(n_pieces * n_contexts, np.uint32), 0
+        for frame in frames:
+            listed = frame.column(0).to_pylist()
+            for part in stretches(listed, 1 << 22):  # the longer, the fewer words are met again
+                found = Words.of(listed[part])
+                held += 2 * window * len(found.s)  # as much as one number can have grown
+                if held >= 1 << 32:
+                    yield from _counted(total, n_contexts)
+                    total, held = np.zeros_like(total), 2 * window * len(found.s)
+                _add_neighbours(total, found, window, n_pieces, n_contexts)
+        yield from _counted(total, n_contexts)
+
+    ship(texts.sparkSession)
+    lowered = texts.where(F.col(column).isNotNull()).select(F.lower(F.col(column)).alias("text"))
+    some = lowered.coalesce(texts.sparkSession.sparkContext.defaultParallelism)  # a matrix for each task, so as many as there are cores
+    return some.mapInArrow(count, "piece int, context int, n long").groupBy("piece", "context").agg(F.sum("n").alias("n"))
+
+
+def _add_neighbours(total: np.ndarray, found: Words, window: int, n_pieces: int, n_contexts: int) -> None:
+    """Adds what cooccurrence() counts in some texts; each distinct word is hashed once, each distinct meeting of a word and a context is dealt to its pieces once."""
+    number: dict[str, int] = {}
+    ids = np.array([number.setdefault(found.joined[s:e], len(number)) for s, e in zip(found.s.tolist(), found.e.tolist(), strict=True)], np.int64)
+    if len(ids) < 2:
+        return
+    context = np.array([_context_bucket(w, n_contexts) for w in number], np.int64)
+    listed = [_word_buckets(w, n_pieces) for w in number]
+    sizes = np.fromiter(map(len, listed), np.int64, len(listed))
+    flat, starts = np.concatenate(listed).astype(np.int64), np.cumsum(sizes) - sizes
+    met = []
+    for d in range(1, window + 1):
+        near = np.flatnonzero(found.row[d:] == found.row[:-d])
+        a, b = ids[near], ids[near + d]
+        met += [a * n_contexts + context[b], b * n_contexts + context[a]]
+    keys = np.sort(np.concatenate(met))
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    times, keys = np.diff(np.append(first, len(keys))), keys[first]
+    word, at = keys // n_contexts, keys % n_contexts
+    many = sizes[word]
+    place = np.arange(many.sum()) + np.repeat(starts[word] - (np.cumsum(many) - many), many)
+    np.add.at(total, flat[place] * n_contexts + np.repeat(at, many), np.repeat(times.astype(np.uint32), many))
+
+
+def _counted(total: np.ndarray, n_contexts: int) -> Iterator[pa.RecordBatch]:
+    step = 1 << 22
+    for i in range(0, len(total), step):
+        some = np.flatnonzero(total[i : i + step])
+        columns = [((some + i) // n_contexts).astype(np.int32), ((some + i) % n_contexts).astype(np.int32), total[some + i].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["piece", "context", "n"])
 
 
 def mutual_information(counts: DataFrame) -> DataFrame:

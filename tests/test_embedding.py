@@ -112,3 +112,26 @@ def test_nothing_to_learn_from(spark):
     assert model.vectors.count() == 0
     row = spark.range(1).select(model.embedder()(F.lit("one")).alias("v")).first()
     assert list(row.v) == [0.0] * 4
+
+
+def test_pairs_of_words_are_not_shuffled(spark, monkeypatch):
+    """What tasks pass on is bounded by the matrix, not by the words that meet; batches and full counters change nothing."""
+    rng = random.Random(9)
+    texts = TEXTS + [" ".join("".join(rng.choices("abcdefghijklm", k=6)) for _ in range(50)) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(40)
+    counts = embedding.cooccurrence(df, "text", 2, 13, 7)
+    assert {(r.piece, r.context): r.n for r in counts.collect()} == dict(plain(texts, 2, 13, 7))
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    passed = counts._jdf.queryExecution().optimizedPlan().children().head()
+    assert spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, passed).count() <= 13 * 7 * spark.sparkContext.defaultParallelism
+
+
+def test_texts_in_stretches():
+    from quillspan.functions.words import Words, stretches
+
+    whole, parts = np.zeros(13 * 7, np.uint32), np.zeros(13 * 7, np.uint32)
+    texts = [t for t in TEXTS if t is not None]
+    embedding._add_neighbours(whole, Words.of(texts), 2, 13, 7)
+    for part in stretches(texts, 9):
+        embedding._add_neighbours(parts, Words.of(texts[part]), 2, 13, 7)
+    assert whole.sum() and (whole == parts).all()
