@@ -68,15 +68,31 @@ def by_subject(flat: DataFrame, subject: str | None = None) -> DataFrame:
     return flat.groupBy("subject_name").agg(F.array_sort(F.collect_list(line)).alias("relations"))
 
 
+def _filled() -> list[Column]:
+    return [F.coalesce(F.col(c), F.lit(f"Unknown {w}")).alias(w) for c, w in (("subject_name", "subject"), ("predicate", "predicate"), ("object_name", "object"))]
+
+
 def triples(flat: DataFrame) -> DataFrame:
     """Distinct subject, predicate, object; missing ones are named as unknown."""
-    filled = [F.coalesce(F.col(c), F.lit(f"Unknown {w}")).alias(w) for c, w in (("subject_name", "subject"), ("predicate", "predicate"), ("object_name", "object"))]
-    return flat.select(*filled).distinct()
+    return flat.select(*_filled()).distinct()
+
+
+def compare(a: DataFrame, b: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rows of two sets with where they are: both, first or second.  One aggregate over both; nulls are equal, repeated rows count once.
+
+    With ``parts`` the rows are dealt to so many tasks before any of them is kept, so that a task's memory is theirs over parts.
+    """
+    return _sides(a.withColumn("_side", F.lit(1)).unionByName(b.withColumn("_side", F.lit(2))), parts)
+
+
+def compare_triples(flat: DataFrame, first: Column, parts: int | None = None) -> DataFrame:
+    """compare() of the triples of the rows for which ``first`` is true and of those for which it is false, in one pass."""
+    return _sides(flat.select(*_filled(), F.when(first, 1).when(~first, 2).alias("_side")).where("_side IS NOT NULL"), parts)
 
 
-def compare(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of two sets with where they are: both, first or second.  One aggregate over both; nulls are equal."""
-    every = a.withColumn("_side", F.lit(1)).unionByName(b.withColumn("_side", F.lit(2)))
-    sides = every.groupBy(*a.columns).agg(F.bit_or("_side").alias("_side"))
+def _sides(every: DataFrame, parts: int | None) -> DataFrame:
+    columns = [c for c in every.columns if c != "_side"]
+    dealt = every.repartition(parts, *columns) if parts else every
+    sides = dealt.groupBy(*columns).agg(F.bit_or("_side").alias("_side"))
     side = F.when(F.col("_side") == 3, "both").when(F.col("_side") == 1, "first").otherwise("second")
-    return sides.select(*a.columns, side.alias("side"))
+    return sides.select(*columns, side.alias("side"))

@@ -366,7 +366,8 @@ def relations_by_subject(spark: SparkSession, d: str) -> DataFrame:
 )
 def triple_set_diff(spark: SparkSession, d: str) -> DataFrame:
     flat = relations.flatten(_nested(spark, d)).select(F.col("subject_cid").alias("subject_name"), "predicate", F.col("object_ontology_id").alias("object_name"), "category")
-    return relations.compare(relations.triples(flat.where("category = 'species'")), relations.triples(flat.where("category <> 'species'")))
+    cores, rows = spark.sparkContext.defaultParallelism, table(spark, d, "lineitem").count()
+    return relations.compare_triples(flat, F.col("category") == "species", max(cores, -(-rows // 250_000)))  # rows of a task
 
 
 _GUIDELINES = ", ".join(f"({quoted(c)}, {quoted(p)}, {quoted(DEFINITIONS[p])})" for c, ps in PREDICATES.items() if c not in NOT_GUIDED for p in ps)

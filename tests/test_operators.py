@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspan.operators import abbreviations, annotations, evaluation, linking, loading, mentions, merging, prompts, providers, ranking, relations
+from quillspan.plans import table_queries
 from quillspan.schemas import NO_DEFINITION, NO_RELATION, predicate_guidelines
 
 
@@ -217,3 +218,18 @@ def test_prompts(spark):
         prompts.evaluation(F.lit("SA"), F.lit("made_in"), F.lit("rice"), F.lit("def"), F.lit("why"), F.lit("ctx\nmore")).alias("e"),
     ).first()
     assert "SA (also: sal)" in row["r"] and "rice, one of the species" in row["r"] and row["e"].endswith("Text: ctx\nmore")
+
+
+def test_compare_keeps_a_share_of_the_rows(spark, data):
+    """Repeated rows are on their side once; triples are aggregated once, in tasks whose number follows the rows."""
+    rows = [("a", "p", "x", "k"), ("a", "p", "x", "k"), ("a", "p", "x", "l"), (None, "p", None, "l"), ("b", "p", "x", "k"), ("c", "p", "x", None)]
+    flat = spark.createDataFrame(rows, "subject_name string, predicate string, object_name string, category string")
+    found = relations.compare_triples(flat, F.col("category") == "k", 7)
+    want = {("a", "p", "x", "both"), ("Unknown subject", "p", "Unknown object", "second"), ("b", "p", "x", "first")}
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) == want and len(got) == 3
+    assert found.rdd.getNumPartitions() == 7
+    a, b = flat.where("category = 'k'").drop("category"), flat.where("category = 'l'").drop("category")
+    assert {tuple(r) for r in relations.compare(a, b, 5).collect()} == {("a", "p", "x", "both"), (None, "p", None, "second"), ("b", "p", "x", "first")}
+    plan = table_queries.triple_set_diff(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
