@@ -276,7 +276,7 @@ _CHANCE_SQL = "(CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0 END + CASE WHEN {n}
 )
 def abbreviation_scores(spark: SparkSession, d: str) -> DataFrame:
     """How much each dotted word of the documents is like an abbreviation."""
-    found = boundaries.abbreviation_scores(materialise(boundaries.neighbours(I.table(spark, d, "documents"))))
+    found = boundaries.abbreviation_scores(materialise(boundaries.neighbours(I.table(spark, d, "documents"), every=False)))
     return found.withColumns({"score": F.round("score", 6) + F.lit(0.0), "n_dotted": F.col("n_dotted").cast("long")})
 
 

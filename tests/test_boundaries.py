@@ -104,3 +104,21 @@ def test_of_nothing(spark):
     assert model.abbreviations.count() == model.starters.count() == 0
     rows = spark.createDataFrame([("Aa bb. Cc d. E.",)], "text string")
     assert [x.text for x in boundaries.split_sentences(rows, model).first().sentences] == ["Aa bb.", "Cc d. E."]
+
+
+def test_few_rows_and_no_texts_are_shuffled(spark, learned):
+    """Counting leaves few rows for a text, whose other words have no next; asking about gaps moves neither texts nor their parts."""
+    texts, df, model = learned
+    every, few = boundaries.neighbours(df), boundaries.neighbours(df, every=False)
+    want = Counter()
+    for r in every.collect():
+        want[r.word, r.dotted, r.after if r.dotted else None] += r.n
+    assert {(r.word, r.dotted, r.after): r.n for r in few.collect()} == dict(want)
+    odd = ["a\x0bb.\x1cc\x85d.\u2028 E\u00a0f.)\tg .. h.é ((i.\"' ÏJ.", "x.,\u2028 y.?! Z"]
+    found = boundaries.neighbours(spark.createDataFrame([(t,) for t in odd], "text string")).collect()
+    assert {(r.word, r.dotted, r.after): r.n for r in found} == {
+        ("a", False, "b.\x1cc\x85d\u2028"): 1, ("b.\x1cc\x85d\u2028", False, "e\u00a0f"): 1, ("e\u00a0f", True, "g"): 1, ("g", False, "h.é"): 1,
+        ("h.é", False, "i"): 1, ("i", True, "ïj"): 1, ("ïj", True, None): 1, ("x\u2028", False, "y"): 1, ("y", True, "z"): 1, ("z", False, None): 1,
+    }
+    plan = boundaries.split_sentences(df.withColumn("k", df.id), model)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "parts" in x], plan
