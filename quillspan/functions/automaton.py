@@ -13,8 +13,9 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-_CHUNK = 1 << 22  # characters that are looked through at once
+_CHUNK = 1 << 20  # characters that are looked through at once
 _BREAK = "\x00"
 
 
@@ -119,11 +120,11 @@ def searcher(shared, kinds: pa.Schema):
         own_first = np.cumsum([0, *map(len, entries)])
         own = np.fromiter((e for x in entries for e in x), np.int64, int(own_first[-1]))
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            size, a = np.cumsum([len(t) for t in texts]), 0
-            while a < len(texts):
+            texts, a = batch.column("text"), 0
+            size = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            while a < len(texts):  # a chunk's texts alone are Python's, not the batch's
                 b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + _CHUNK, "right")))
-                text, name, first = machine.find(texts[a:b])
+                text, name, first = machine.find([t or "" for t in texts[a:b].to_pylist()])
                 if len(text):
                     yield _rows(batch.slice(a, b - a), text, name, first, machine.size, own_first, own, number, types, names, kinds)
                 a = b

@@ -73,3 +73,23 @@ def test_many_names_from_the_documents(spark, data):
 
 def test_names_that_overlap_themselves():
     assert [automaton.overlaps_itself(x) for x in ("aa", "aba", "abab", "ab", "a", "abca")] == [True, True, True, False, False, True]
+
+
+def test_a_batch_is_not_all_python_texts_at_once():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    kinds = pa.schema([("doc_id", pa.int64()), ("passage_idx", pa.int32()), ("entity_type", pa.string()), ("entity_idx", pa.int32()), ("name", pa.string()), ("spans", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])
+    n = 200
+    texts = [None if i == 7 else "x" * 200_000 + " the" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int32()), pa.array([3] * n, pa.int64()), pa.array(texts)], ["doc_id", "passage_idx", "u_start", "text"])
+    del texts
+    search = automaton.searcher(SimpleNamespace(value=automaton.pack_names([(0, "genes", "the")])), kinds)
+    tracemalloc.start()
+    found = [r for out in search(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["doc_id"], r["spans"]) for r in found] == [(i, [{"s": 200_004, "e": 200_007}]) for i in range(n) if i != 7]
+    assert peak < 25e6, peak  # the texts have 40 MB
