@@ -111,15 +111,16 @@ def context_indices(best: DataFrame, n_sentences: DataFrame) -> DataFrame:
     return best.join(n_sentences, "doc_id").select("doc_id", "subj", "category", "obj", F.explode(around).alias("sent_idx")).distinct()
 
 
-def assemble(top: DataFrame, best: DataFrame, sentences: DataFrame, passages: DataFrame) -> DataFrame:
+def assemble(top: DataFrame, best: DataFrame, sentences: DataFrame, passages: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """doc_id, subj, category, obj and context of each pair that has one.
 
     The context is the best sentences with their neighbours in order, then the chosen passages that gave no
     sentence and are not there yet; without any sentence, all chosen passages.
-    sentences: doc_id, sent_idx (over the document), text; passages: doc_id, unit_idx, text.
+    sentences: doc_id, sent_idx (over the document), text; passages: doc_id, unit_idx, text; places: a row with doc_id for each
+    sentence, where one is at hand that costs less than sentences.
     """
     key = ["doc_id", "subj", "category", "obj"]
-    n = sentences.groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+    n = (sentences if places is None else places).groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
     lines = context_indices(best, n).join(sentences.select("doc_id", "sent_idx", "text"), ["doc_id", "sent_idx"])
     lines = lines.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("sent_idx", "text"))), lambda x: x["text"]).alias("lines"))
     used = best.select(*key, "rank").distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import let, running_starts
 from ..operators import mentions, passages, ranking
 from ..schemas import ENTITY_POLICY
-from ..session import materialise, spread
+from ..session import materialise, spread, written
 
 # The names that are looked for.
 LEXICON = [
@@ -103,10 +103,11 @@ def scored(found: DataFrame, u: DataFrame) -> DataFrame:
 
 
 def chosen(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Units, sentences, the top passages of each pair and the best sentences in them."""
+    """Units, sentences and their places (written once, without the texts), the top passages of each pair and the best sentences in them."""
     found, u, s = spans(spark, sf_dir), units(spark, sf_dir), sentence_units(spark, sf_dir)
+    places = written(s.drop("text"))
     top = materialise(ranking.top_units(scored(found, u), 2))
-    return {"units": u, "sentences": s, "top": top, "best": materialise(ranking.best_sentences(top, weighed(found, s), 2))}
+    return {"units": u, "sentences": s, "places": places, "top": top, "best": materialise(ranking.best_sentences(top, weighed(found, places), 2))}
 
 
 # ---------- the same in SQL ----------

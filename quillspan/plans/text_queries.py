@@ -183,7 +183,7 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
 )
 def context_window(spark: SparkSession, d: str) -> DataFrame:
     c = I.chosen(spark, d)
-    n = c["sentences"].groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+    n = c["places"].groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
     return ranking.context_indices(c["best"], n)
 
 
@@ -205,7 +205,7 @@ def context_window(spark: SparkSession, d: str) -> DataFrame:
 )
 def context_assembly(spark: SparkSession, d: str) -> DataFrame:
     c = I.chosen(spark, d)
-    out = ranking.assemble(c["top"], c["best"], c["sentences"].withColumnRenamed("unit_idx", "sent_idx"), c["units"])
+    out = ranking.assemble(c["top"], c["best"], c["sentences"].withColumnRenamed("unit_idx", "sent_idx"), c["units"], c["places"])
     return out.select("doc_id", "subj", "category", "obj", F.md5(F.col("context").cast("binary")).alias("context_md5"))
 
 

@@ -233,3 +233,13 @@ def test_compare_keeps_a_share_of_the_rows(spark, data):
     assert {tuple(r) for r in relations.compare(a, b, 5).collect()} == {("a", "p", "x", "both"), (None, "p", None, "second"), ("b", "p", "x", "first")}
     plan = table_queries.triple_set_diff(spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 1
+
+
+def test_sentences_are_split_for_their_texts_alone(spark, data):
+    """Places and numbers of sentences come from a written table; documents are read for the texts of sentences and of passages."""
+    from quillspan.plans import text_queries
+
+    plan = text_queries.context_assembly(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Relation [" in x and "text#" in x]) == 2, plan
+    plan = text_queries.context_window(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "text#" in x], plan
