@@ -114,3 +114,13 @@ def test_no_table_of_nodes_passes_through_the_driver(spark, monkeypatch):
     out = hierarchy.intervals(tree(spark, forest(60, 2)))
     plans.append(out._jdf.queryExecution().sparkPlan().toString())
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_pairs_come_out_in_blocks(spark, monkeypatch):
+    """Nodes at nearly one depth come out together for each ancestor, so files of pairs are small; those that are too many are shared out."""
+    monkeypatch.setattr(hierarchy, "STRETCH", 32)
+    monkeypatch.setattr(hierarchy, "ASKING", 100)
+    pairs = [(i, i - 1) for i in range(1, 150)] + [(1000 * k + i, i) for k in range(1, 8) for i in range(150)]
+    found = [tuple(r) for r in hierarchy.ancestors(tree(spark, pairs)).collect()]
+    assert len(found) == len(set(found)) and set(found) == plain(pairs)
+    assert sum(x[1] != y[1] for x, y in zip(found, found[1:], strict=False)) < len(found) / 5
